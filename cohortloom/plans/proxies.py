@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cohortloom.session import spread
+
 # First dates, step and value lists of the given tables.
 ORDER_START = "1995-01-01"
 ORDER_STEP = 84
@@ -68,8 +70,11 @@ def video_create(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate"
+    )
     return (
-        table(spark, sf_dir, "lineitem")
+        spread(lines, "l_orderkey")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.col("o_custkey").alias("user_id"),

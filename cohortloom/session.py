@@ -54,3 +54,15 @@ def settle(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use the idle cores when a scan comes as a few large row groups.
+
+    Only a scan with fewer tasks than cores is redistributed, by columns a later join
+    can use; a large table has tasks enough and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
