@@ -145,3 +145,101 @@ event_activity AS (
 event_register AS (
   SELECT user_id, min(day) AS register_day FROM event_activity
   WHERE page = {EVENT_TYPES.index('signup')} GROUP BY user_id)"""
+
+
+# --- ad samples -----------------------------------------------------------------------
+
+USER_ATTRIBUTES = ["lbs", "age", "gender", "house"]
+AD_ATTRIBUTES = ["advertiserid", "producttype", "creativesize"]
+TOKEN_COLUMNS = ["interest1", "interest2"]
+CATEGORIES = USER_ATTRIBUTES + AD_ATTRIBUTES
+
+
+def ad_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (customer, part): clicked if a line of it was returned.
+
+    Lines of a pending order have no known outcome: they are the test rows, label -1.
+    """
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus"
+    )
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
+    pairs = (
+        spread(lines, "l_orderkey")
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy(F.col("o_custkey").alias("uid"), F.col("l_partkey").alias("aid"))
+        .agg(
+            F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).cast("long").alias("clicked"),
+            F.min("o_orderpriority").alias("age"),
+            F.max("o_orderstatus").alias("house"),
+        )
+    )
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("uid"),
+        F.col("c_nationkey").cast("string").alias("lbs"),
+        F.col("c_mktsegment").alias("gender"),
+    )
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("aid"),
+        F.col("p_brand").alias("advertiserid"),
+        F.col("p_type").alias("producttype"),
+        F.col("p_size").cast("string").alias("creativesize"),
+        F.col("p_name").alias("interest1"),
+        F.when(F.col("p_size") > 5, F.concat_ws(" ", "p_brand", "p_type", "p_brand")).alias("interest2"),
+    )
+    return pairs.join(customer, "uid", "left").join(part, "aid", "left").select(
+        "uid", "aid",
+        F.when(F.col("house") == "P", -1).otherwise(F.col("clicked")).cast("long").alias("label"),
+        *CATEGORIES, *TOKEN_COLUMNS,
+    )
+
+
+def marked_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples with missing text filled and a training mark by the key."""
+    mark = F.when(F.pmod(F.col("uid") * 31 + F.col("aid") * 17, F.lit(10)) < 7, 1).otherwise(0)
+    return ad_samples(spark, sf_dir).na.fill("-1").withColumn("is_train", mark.cast("long"))
+
+
+def scored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label and score with many ties."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).cast("long").alias("label"),
+        F.col("l_discount").alias("score"),
+        F.col("l_linenumber").cast("long").alias("part"),
+    )
+
+
+def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts of the labelled documents, quality as the label."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("long").alias("label"))
+    return (
+        table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
+        .withColumn("is_train", F.when(F.pmod("doc_id", F.lit(10)) < 7, 1).otherwise(0).cast("long"))
+    )
+
+
+SAMPLES_SQL = """
+raw AS (
+  SELECT o_custkey AS uid, l_partkey AS aid,
+         CASE WHEN max(o_orderstatus) = 'P' THEN -1 ELSE max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) END AS label,
+         min(o_orderpriority) AS age, max(o_orderstatus) AS house
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
+ad AS (
+  SELECT uid, aid, CAST(label AS BIGINT) AS label, CAST(c_nationkey AS VARCHAR) AS lbs, age, c_mktsegment AS gender,
+         house, p_brand AS advertiserid, p_type AS producttype, CAST(p_size AS VARCHAR) AS creativesize,
+         p_name AS interest1,
+         CASE WHEN p_size > 5 THEN p_brand || ' ' || p_type || ' ' || p_brand END AS interest2
+  FROM raw LEFT JOIN customer ON c_custkey = uid LEFT JOIN part ON p_partkey = aid),
+samples AS (
+  SELECT * REPLACE (coalesce(lbs, '-1') AS lbs, coalesce(age, '-1') AS age, coalesce(gender, '-1') AS gender,
+         coalesce(house, '-1') AS house, coalesce(advertiserid, '-1') AS advertiserid,
+         coalesce(producttype, '-1') AS producttype, coalesce(creativesize, '-1') AS creativesize,
+         coalesce(interest1, '-1') AS interest1, coalesce(interest2, '-1') AS interest2),
+         CAST(CASE WHEN (uid * 31 + aid * 17) % 10 < 7 THEN 1 ELSE 0 END AS BIGINT) AS is_train
+  FROM ad)"""
+
+DOCUMENTS_SQL = """
+docs AS (
+  SELECT doc_id, text, CAST(quality AS BIGINT) AS label,
+         CAST(CASE WHEN doc_id % 10 < 7 THEN 1 ELSE 0 END AS BIGINT) AS is_train
+  FROM documents JOIN labels USING (doc_id))"""

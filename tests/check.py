@@ -24,7 +24,7 @@ TABLES = (
 ).split()
 
 # Spark type name -> DuckDB type name
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
