@@ -122,7 +122,10 @@ def grid_search(matrix: DataFrame, make, grid: Mapping[str, Sequence]) -> DataFr
     for point in product(*grid.values()):
         model = make(**dict(zip(names, point))).fit(train)
         points[point] = positive_score(model.transform(matrix))
-    return judge(points, names)
+    # the scores are added up and settled in there: nothing reads the matrix afterwards
+    judged = judge(points, names)
+    matrix.unpersist()
+    return judged
 
 
 def cross_validate(matrix: DataFrame, estimator, grid: Mapping, folds: int = 5, seed: int = 0, parallelism: int = 2) -> DataFrame:

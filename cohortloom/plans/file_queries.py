@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -13,13 +12,13 @@ from cohortloom.plans import proxies
 from cohortloom.plans.activity_queries import rounded
 from cohortloom.plans.proxies import CATEGORIES, LOGS_SQL, TOKEN_COLUMNS, USER_ATTRIBUTES
 from cohortloom.plans.sample_queries import ATTRIBUTE_AD, ORACLES as SAMPLE_ORACLES, samples
-from cohortloom.session import shared_folder
+from cohortloom.session import run_folder
 from cohortloom.sources import readers, schemas, writers
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder for each run, in the folder shared by all executors."""
-    return f"{shared_folder(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 SAMPLE_SCHEMA = StructType(
@@ -91,11 +90,14 @@ def saved_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = samples(spark, sf_dir)
     blocks = models.design_matrix(categories=USER_ATTRIBUTES, tokens=["interest1"])
     writers.write_matrix(blocks.fit(df).transform(df).select("uid", "aid", "features"), path)
-    cells = vector_to_array("features")
-    return spark.read.parquet(path).select(
+    # a stored vector is a struct; read as one, a sparse row stays as short as it is
+    stored = spark.read.schema(
+        "uid long, aid long, features struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+    ).parquet(path)
+    return stored.select(
         "uid", "aid",
-        F.size(F.filter(cells, lambda v: v != 0)).cast("long").alias("cells"),
-        F.aggregate(cells, F.lit(0.0), lambda a, v: a + v).alias("total"),
+        F.size("features.values").cast("long").alias("cells"),
+        F.aggregate("features.values", F.lit(0.0), lambda a, v: a + v).alias("total"),
     )
 
 

@@ -17,6 +17,7 @@ from cohortloom.plans.activity_queries import rounded
 from cohortloom.plans.file_queries import scratch
 from cohortloom.plans.proxies import CATEGORIES, SAMPLES_SQL
 from cohortloom.plans.sample_queries import ATTRIBUTE_PAIR, KEYS, SCREENED
+from cohortloom.session import settle
 from cohortloom.sources import writers
 
 SMALL = ["gender", "age", "house", "producttype"]
@@ -24,7 +25,8 @@ TREES = {"rounds": 5, "rate": 0.1, "depth": 3, "min_rows": 20, "seed": 7}
 
 
 def known(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rates.labelled(proxies.marked_samples(spark, sf_dir))
+    """Labelled samples as a table: every fit reads them again."""
+    return settle(rates.labelled(proxies.marked_samples(spark, sf_dir)))
 
 
 def _matrix(spark: SparkSession, sf_dir: str, categories=SMALL) -> DataFrame:

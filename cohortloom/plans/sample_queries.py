@@ -13,6 +13,7 @@ from cohortloom.plans.activity_queries import rounded
 from cohortloom.plans.proxies import (
     AD_ATTRIBUTES, CATEGORIES, DOCUMENTS_SQL, SAMPLES_SQL, TOKEN_COLUMNS, USER_ATTRIBUTES,
 )
+from cohortloom.session import settle
 
 KEYS = ["uid", "aid"]
 KEPT = {"interest1": 9, "interest2": 20}
@@ -43,6 +44,11 @@ def samples(spark, sf_dir):
     return proxies.marked_samples(spark, sf_dir)
 
 
+def kept_samples(spark, sf_dir):
+    """The samples as a table of their own, for queries that read them more than once."""
+    return settle(samples(spark, sf_dir))
+
+
 # --- fills, casts, strings ----------------------------------------------------------
 
 
@@ -111,7 +117,7 @@ def first_token_cut(spark, sf_dir):
 
 
 def collapsed_samples(spark, sf_dir):
-    df = samples(spark, sf_dir)
+    df = kept_samples(spark, sf_dir)
     ranked = tokens.rank_tokens(tokens.token_importance(df, TOKEN_COLUMNS))
     return tokens.collapse_rare(df, KEYS, tokens.rare_tokens(ranked, KEPT), TOKEN_COLUMNS)
 
@@ -133,13 +139,13 @@ def label_codes(spark, sf_dir):
 
 
 def encoded_samples(spark, sf_dir):
-    df = samples(spark, sf_dir)
+    df = kept_samples(spark, sf_dir)
     coded = encoders.encode(df, encoders.fit_codes(df, CATEGORIES), CATEGORIES)
     return coded.select(*KEYS, *[f"{c}_code" for c in CATEGORIES])
 
 
 def one_hot_rows(spark, sf_dir):
-    df = samples(spark, sf_dir)
+    df = kept_samples(spark, sf_dir)
     coded = encoders.encode(df, encoders.fit_codes(df, USER_ATTRIBUTES), USER_ATTRIBUTES)
     return encoders.one_hot_rows(coded, KEYS, USER_ATTRIBUTES)
 
@@ -156,13 +162,13 @@ def document_token_counts(spark, sf_dir):
 
 def feature_dictionary(spark, sf_dir):
     """Levels of the categories and tokens of the token columns in one dictionary."""
-    df = samples(spark, sf_dir)
+    df = kept_samples(spark, sf_dir)
     return encoders.fit_codes(df, CATEGORIES).unionByName(encoders.fit_vocabulary(df, TOKEN_COLUMNS))
 
 
 def design_rows(spark, sf_dir):
     """All blocks side by side as (uid, aid, column, value)."""
-    df = samples(spark, sf_dir)
+    df = kept_samples(spark, sf_dir)
     codes = encoders.fit_codes(df, USER_ATTRIBUTES)
     vocabulary = encoders.fit_vocabulary(df, TOKEN_COLUMNS)
     blocks = encoders.one_hot_rows(encoders.encode(df, codes, USER_ATTRIBUTES), KEYS, USER_ATTRIBUTES)
@@ -184,7 +190,7 @@ def _rates(features):
 
 def _attached(features, gap=None):
     def run(spark, sf_dir):
-        df = samples(spark, sf_dir)
+        df = kept_samples(spark, sf_dir)
         out = rates.attach_rates(df.select(*KEYS, *CATEGORIES), rates.click_rates(df, features), features, gap=gap)
         return rounded(out.select(*KEYS, *[f"{f}_ctr" for f in features]))
 
@@ -193,7 +199,7 @@ def _attached(features, gap=None):
 
 def ctr_token_bucket(spark, sf_dir):
     """Two lookups in a row: interest text to its count bucket, bucket and ad to the rate."""
-    df = samples(spark, sf_dir)
+    df = kept_samples(spark, sf_dir)
     buckets = df.select("uid", "interest2").distinct().withColumn(
         "interest2cnt", token_count(F.col("interest2"))
     )
@@ -210,18 +216,18 @@ def ctr_smoothed(spark, sf_dir):
 
 
 def ctr_tokens(spark, sf_dir):
-    return rounded(rates.token_pair_rates(samples(spark, sf_dir), TOKEN_COLUMNS))
+    return rounded(rates.token_pair_rates(kept_samples(spark, sf_dir), TOKEN_COLUMNS))
 
 
 def ad_exposures(spark, sf_dir):
-    df = samples(spark, sf_dir)
+    df = kept_samples(spark, sf_dir)
     out = lookup(df.select(*KEYS), rates.exposures(df), ["aid"])
     return out
 
 
 def history_rates(spark, sf_dir):
     """History rate of single keys: ad, place, producer."""
-    df = samples(spark, sf_dir)
+    df = kept_samples(spark, sf_dir)
     features = {"aid": ["aid"], "lbs": ["lbs"], "advertiserid": ["advertiserid"], "producttype": ["producttype"]}
     out = rates.attach_rates(df.select(*KEYS, "lbs", "advertiserid", "producttype"), rates.click_rates(df, features), features)
     return rounded(out.select(*KEYS, *[f"{f}_ctr" for f in features]))
@@ -233,14 +239,14 @@ def combined_keys(spark, sf_dir):
 
 def combined_codes(spark, sf_dir):
     """Combined keys, label-encoded: one code column per combination."""
-    df = samples(spark, sf_dir)
+    df = kept_samples(spark, sf_dir)
     wide = df.select(*KEYS, *[F.concat_ws(" ", *cs).alias(n) for n, cs in COMBOS.items()])
     coded = encoders.encode(wide, encoders.fit_codes(wide, list(COMBOS)), list(COMBOS))
     return coded.select(*KEYS, *[f"{n}_code" for n in COMBOS])
 
 
 def combination_counts(spark, sf_dir):
-    return rates.attach_counts(samples(spark, sf_dir), COMBOS)
+    return rates.attach_counts(kept_samples(spark, sf_dir), COMBOS)
 
 
 def pair_shares(spark, sf_dir):
@@ -249,7 +255,7 @@ def pair_shares(spark, sf_dir):
 
 def widened_pairs(spark, sf_dir):
     """Four (uid, aid) tables made wide and joined once."""
-    df = samples(spark, sf_dir)
+    df = kept_samples(spark, sf_dir)
     features = {c: [c] for c in USER_ATTRIBUTES}
     wanted = rates.attach_rates(df.select(*KEYS, *USER_ATTRIBUTES), rates.click_rates(df, features), features)
     tables = wanted.selectExpr(
@@ -262,7 +268,7 @@ def widened_pairs(spark, sf_dir):
 
 def lookup_audit(spark, sf_dir):
     """What three lookups would do to the number of rows."""
-    df = samples(spark, sf_dir)
+    df = kept_samples(spark, sf_dir)
     part = proxies.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("aid"))
     lines = proxies.table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("aid"))
     events = proxies.table(spark, sf_dir, "events").select(F.col("user_id").alias("uid"))

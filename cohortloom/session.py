@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,15 +46,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    return f"{shared_folder(spark)}/cohortloom/{spark.sparkContext.applicationId}"
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from there.
+    """Write ``df`` once as a table in the shared folder and go on from there.
 
-    Used where a result is read more than once and must be the same each time
-    (row positions after a range partitioning) or where its size is to be
-    counted before a join is chosen. Survives the loss of executors.
+    Used where a result is read more than once and must be the same each time (row
+    positions after a range partitioning) or where its size is to be counted before a
+    join is chosen. Survives the loss of executors; being columnar, it can be read by
+    column and its size is known to the optimizer.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_settled(spark: SparkSession) -> None:
+    """Delete the tables this application has settled; their results must be used up."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(folder, True)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
