@@ -20,7 +20,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
+from cohortloom.functions.splitting import fold
 from cohortloom.operators.metrics import roc_auc
+from cohortloom.session import settle
 
 
 def design_matrix(
@@ -112,20 +114,17 @@ def judge(points: Mapping[tuple, DataFrame], names: Sequence[str]) -> DataFrame:
 def grid_search(matrix: DataFrame, make, grid: Mapping[str, Sequence]) -> DataFrame:
     """Fit ``make(**point)`` on the training rows for every point; AUC on both parts.
 
-    ``matrix`` has features, label and is_train. It is read by every fit, so it is kept in
-    memory (and on disk where it does not fit) for the time of the search.
+    ``matrix`` has features, label and is_train. Every fit reads it, so it is written once:
+    the encoders are not run again, whatever becomes of the executors.
     """
     names = list(grid)
-    matrix = matrix.select("features", "label", "is_train").persist()
+    matrix = settle(matrix.select("features", "label", "is_train"))
     train = matrix.filter(F.col("is_train") == 1)
     points = {}
     for point in product(*grid.values()):
         model = make(**dict(zip(names, point))).fit(train)
         points[point] = positive_score(model.transform(matrix))
-    # the scores are added up and settled in there: nothing reads the matrix afterwards
-    judged = judge(points, names)
-    matrix.unpersist()
-    return judged
+    return judge(points, names)
 
 
 def cross_validate(matrix: DataFrame, estimator, grid: Mapping, folds: int = 5, seed: int = 0, parallelism: int = 2) -> DataFrame:
@@ -153,6 +152,41 @@ def best_point(cv: DataFrame) -> DataFrame:
     return cv.agg(best.alias("b")).select("b.point", "b.auc_mean")
 
 
+def rounds_band(matrix: DataFrame, trees: GBTClassifier, keys: Sequence[str], folds: int = 5,
+                every: int = 1, seed: int = 0) -> DataFrame:
+    """(round, auc_mean, auc_std, lower, upper): cross-validated AUC after each boosting round.
+
+    One fit per fold. A model's first r trees are the model of round r, so the held-out rows
+    get their scores of all rounds as running sums in one projection, and one job judges
+    every (fold, round).
+    """
+    matrix = settle(matrix.select(*keys, "features", "label").withColumn("fold", fold(keys, folds, seed)))
+    judged = []
+    for k in range(folds):
+        model = trees.fit(matrix.filter(F.col("fold") != k))
+        scored = matrix.filter(F.col("fold") == k)
+        for i, tree in enumerate(model.trees):
+            scored = tree.setPredictionCol(f"_tree{i}").transform(scored)
+        margins, total = [], F.lit(0.0)
+        for i, weight in enumerate(model.treeWeights):
+            total = total + F.col(f"_tree{i}") * F.lit(weight)
+            if (i + 1) % every == 0 or i + 1 == len(model.trees):
+                margins.append(F.struct(F.lit(i + 1).alias("round"), total.alias("score")))
+        judged.append(scored.select("fold", "label", F.inline(F.array(*margins))))
+    aucs = roc_auc(reduce(DataFrame.unionByName, judged), ["fold", "round"])
+    mean, spread = F.avg("auc"), F.stddev_pop("auc")
+    return aucs.groupBy("round").agg(
+        mean.alias("auc_mean"), spread.alias("auc_std"),
+        (mean - spread).alias("lower"), (mean + spread).alias("upper"),
+    )
+
+
+def best_round(band: DataFrame) -> DataFrame:
+    """The round with the highest mean; of equal ones the first."""
+    best = F.max(F.struct("auc_mean", (-F.col("round")).alias("_early")))
+    return band.agg(best.alias("b")).select((-F.col("b._early")).alias("round"), "b.auc_mean")
+
+
 def fit_and_score(samples: DataFrame, blocks: Pipeline, estimator) -> tuple[PipelineModel, DataFrame]:
     """Encoders see all rows, the estimator only training rows; returns scores for both parts."""
     encoder = blocks.fit(samples)

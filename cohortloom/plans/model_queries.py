@@ -58,6 +58,13 @@ def cross_validation(spark, sf_dir):
     return models.cross_validate(matrix, estimator, {estimator.regParam: [0.001, 0.1]}, folds=3)
 
 
+def rounds_band(spark, sf_dir):
+    """AUC after each boosting round over the folds, with the band around it."""
+    df = known(spark, sf_dir)
+    matrix = models.design_matrix(categories=["gender", "age"]).fit(df).transform(df)
+    return rounded(models.rounds_band(matrix, models.boosted_trees(**TREES), KEYS, folds=2))
+
+
 def logistic_grid(spark, sf_dir):
     matrix = _matrix(spark, sf_dir)
     rows = matrix.filter(F.col("is_train") == 1).count()
@@ -139,6 +146,7 @@ QUERIES = {
     "hash_split": hash_split,
     "boosted_trees": boosted_trees,
     "cross_validation": cross_validation,
+    "rounds_band": rounds_band,
     "logistic_grid": logistic_grid,
     "elastic_grid": elastic_grid,
     "score_as_feature": score_as_feature,

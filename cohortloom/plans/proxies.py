@@ -8,6 +8,7 @@ from 2024-01-01. No table is cut down.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from cohortloom.session import spread
 
@@ -21,8 +22,15 @@ RETURN_FLAGS = "ANR"
 EVENT_TYPES = ["view", "click", "error", "purchase", "signup"]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its footer is read once, later reads know the schema."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _step(column: str) -> F.Column:

@@ -40,6 +40,12 @@ def test_cross_validation_band(spark):
         assert row["lower"] <= row["auc_mean"] <= row["upper"]
 
 
+def test_rounds_band_has_every_round(spark):
+    rows = QUERIES["rounds_band"](spark, SF_DIR).collect()
+    assert sorted(r["round"] for r in rows) == [1, 2, 3, 4, 5]
+    assert all(0 < r["lower"] <= r["auc_mean"] <= r["upper"] <= 1.05 for r in rows)
+
+
 def test_leaves_are_one_per_tree(spark):
     df = QUERIES["tree_leaves"](spark, SF_DIR)
     per_row = df.groupBy("uid", "aid").count().select("count").distinct().collect()
