@@ -11,14 +11,14 @@ from functools import reduce
 from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
     CountVectorizer, FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortloom.functions.splitting import fold
 from cohortloom.operators.metrics import roc_auc
@@ -152,27 +152,33 @@ def best_point(cv: DataFrame) -> DataFrame:
     return cv.agg(best.alias("b")).select("b.point", "b.auc_mean")
 
 
+def scores_per_round(model: GBTClassificationModel, rows: DataFrame, keep: Sequence[str], every: int = 1) -> DataFrame:
+    """(keep, round, score): what the model would say after each boosting round.
+
+    A model's first r trees are the model of round r, so the scores of all rounds are
+    running sums in one projection.
+    """
+    for i, tree in enumerate(model.trees):
+        rows = tree.setPredictionCol(f"_tree{i}").transform(rows)
+    margins, total = [], F.lit(0.0)
+    for i, weight in enumerate(model.treeWeights):
+        total = total + F.col(f"_tree{i}") * F.lit(weight)
+        if (i + 1) % every == 0 or i + 1 == len(model.trees):
+            margins.append(F.struct(F.lit(i + 1).alias("round"), total.alias("score")))
+    return rows.select(*keep, F.inline(F.array(*margins)))
+
+
 def rounds_band(matrix: DataFrame, trees: GBTClassifier, keys: Sequence[str], folds: int = 5,
                 every: int = 1, seed: int = 0) -> DataFrame:
     """(round, auc_mean, auc_std, lower, upper): cross-validated AUC after each boosting round.
 
-    One fit per fold. A model's first r trees are the model of round r, so the held-out rows
-    get their scores of all rounds as running sums in one projection, and one job judges
-    every (fold, round).
+    One fit per fold; one job judges every (fold, round).
     """
     matrix = settle(matrix.select(*keys, "features", "label").withColumn("fold", fold(keys, folds, seed)))
     judged = []
     for k in range(folds):
         model = trees.fit(matrix.filter(F.col("fold") != k))
-        scored = matrix.filter(F.col("fold") == k)
-        for i, tree in enumerate(model.trees):
-            scored = tree.setPredictionCol(f"_tree{i}").transform(scored)
-        margins, total = [], F.lit(0.0)
-        for i, weight in enumerate(model.treeWeights):
-            total = total + F.col(f"_tree{i}") * F.lit(weight)
-            if (i + 1) % every == 0 or i + 1 == len(model.trees):
-                margins.append(F.struct(F.lit(i + 1).alias("round"), total.alias("score")))
-        judged.append(scored.select("fold", "label", F.inline(F.array(*margins))))
+        judged.append(scores_per_round(model, matrix.filter(F.col("fold") == k), ["fold", "label"], every))
     aucs = roc_auc(reduce(DataFrame.unionByName, judged), ["fold", "round"])
     mean, spread = F.avg("auc"), F.stddev_pop("auc")
     return aucs.groupBy("round").agg(
@@ -181,6 +187,31 @@ def rounds_band(matrix: DataFrame, trees: GBTClassifier, keys: Sequence[str], fo
     )
 
 
+def rounds_auc(model: GBTClassificationModel, matrix: DataFrame, every: int = 1) -> DataFrame:
+    """(round, AUC_0, AUC_1): area under the curve on both parts after each round."""
+    aucs = roc_auc(scores_per_round(model, matrix, ["is_train", "label"], every), ["round", "is_train"])
+    return aucs.groupBy("round").agg(
+        F.max(F.when(F.col("is_train") == 1, F.col("auc"))).alias("AUC_0"),
+        F.max(F.when(F.col("is_train") == 0, F.col("auc"))).alias("AUC_1"),
+    )
+
+
+def stopping_round(per_round: DataFrame, patience: int = 100, by: str = "AUC_1") -> DataFrame:
+    """(round, <by>): the best round before ``patience`` rounds went by without a gain.
+
+    There are as many rows as boosting rounds, so one window over all of them is small.
+    """
+    order = Window.partitionBy(F.lit(0)).orderBy("round")
+    best = F.struct(F.col(by), (-F.col("round")).alias("_early"))
+    so_far = per_round.select("round", by, F.max(best).over(order).alias("_best"))
+    gone_by = F.col("round") + F.col("_best._early")
+    stopped = F.max(F.when(gone_by >= patience, 1).otherwise(0)).over(
+        order.rowsBetween(Window.unboundedPreceding, -1)
+    )
+    read = so_far.withColumn("_stopped", F.coalesce(stopped, F.lit(0))).filter(F.col("_stopped") == 0)
+    return read.agg(F.max(best).alias("b")).select((-F.col("b._early")).alias("round"), F.col(f"b.{by}").alias(by))
+
+
 def best_round(band: DataFrame) -> DataFrame:
     """The round with the highest mean; of equal ones the first."""
     best = F.max(F.struct("auc_mean", (-F.col("round")).alias("_early")))

@@ -10,7 +10,7 @@ from cohortloom.functions.joins import BROADCAST_ROWS
 from cohortloom.functions.ordering import positions
 from cohortloom.functions.tokens import OTHER, replace_tokens
 from cohortloom.session import settle
-from cohortloom.sources.schemas import MISSING
+from cohortloom.sources.schemas import MISSING, TOKENS_KEPT
 
 # Rare tokens that may be written into an expression as literals.
 LITERAL_TOKENS = 5_000
@@ -98,3 +98,15 @@ def collapse_rare(
         ).alias(column)
 
     return placed.groupBy(*keys).agg(*[text(c) for c in columns])
+
+
+def keep_top(
+    df: DataFrame, keys: Sequence[str], importance: DataFrame, kept: Mapping[str, int] = TOKENS_KEPT
+) -> DataFrame:
+    """All token columns at once: the top N of each stay, the rest become 'other'.
+
+    N is clamped to the number of tokens by itself: past the last rank nothing is rare.
+    """
+    columns = [c for c in kept if c in df.columns]
+    rare = rare_tokens(rank_tokens(importance), {c: kept[c] for c in columns})
+    return collapse_rare(df, keys, rare, columns)

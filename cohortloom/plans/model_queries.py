@@ -65,6 +65,15 @@ def rounds_band(spark, sf_dir):
     return rounded(models.rounds_band(matrix, models.boosted_trees(**TREES), KEYS, folds=2))
 
 
+def rounds_auc(spark, sf_dir):
+    """Both areas under the curve after each round, and the round to stop at."""
+    matrix = settle(_matrix(spark, sf_dir, ["gender", "age"]).select("features", "label", "is_train"))
+    model = models.boosted_trees(**TREES).fit(matrix.filter(F.col("is_train") == 1))
+    per_round = settle(models.rounds_auc(model, matrix))
+    stop = models.stopping_round(per_round, patience=2).select(F.col("round").alias("stop_at"))
+    return rounded(per_round.join(stop, F.col("round") == F.col("stop_at"), "left"))
+
+
 def logistic_grid(spark, sf_dir):
     matrix = _matrix(spark, sf_dir)
     rows = matrix.filter(F.col("is_train") == 1).count()
@@ -147,6 +156,7 @@ QUERIES = {
     "boosted_trees": boosted_trees,
     "cross_validation": cross_validation,
     "rounds_band": rounds_band,
+    "rounds_auc": rounds_auc,
     "logistic_grid": logistic_grid,
     "elastic_grid": elastic_grid,
     "score_as_feature": score_as_feature,

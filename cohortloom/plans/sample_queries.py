@@ -118,8 +118,7 @@ def first_token_cut(spark, sf_dir):
 
 def collapsed_samples(spark, sf_dir):
     df = kept_samples(spark, sf_dir)
-    ranked = tokens.rank_tokens(tokens.token_importance(df, TOKEN_COLUMNS))
-    return tokens.collapse_rare(df, KEYS, tokens.rare_tokens(ranked, KEPT), TOKEN_COLUMNS)
+    return tokens.keep_top(df, KEYS, tokens.token_importance(df, TOKEN_COLUMNS), KEPT)
 
 
 def collapsed_documents(spark, sf_dir):
