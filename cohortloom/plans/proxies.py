@@ -217,11 +217,16 @@ def scored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts of all documents."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts of the labelled documents, quality as the label."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("long").alias("label"))
     return (
-        table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
+        documents(spark, sf_dir).join(labels, "doc_id")
         .withColumn("is_train", F.when(F.pmod("doc_id", F.lit(10)) < 7, 1).otherwise(0).cast("long"))
     )
 

@@ -106,7 +106,7 @@ def tokens_in_common(spark, sf_dir):
 
 def ranked_tokens(spark, sf_dir):
     """Every token of the whole document texts with its rank by frequency."""
-    documents = proxies.table(spark, sf_dir, "documents")
+    documents = proxies.documents(spark, sf_dir)
     return tokens.rank_tokens(tokens.token_importance(documents, ["text"], lower=True))
 
 
@@ -123,7 +123,7 @@ def collapsed_samples(spark, sf_dir):
 
 def collapsed_documents(spark, sf_dir):
     """Rare tokens of whole documents, by the join that has no limit on their number."""
-    documents = proxies.table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = proxies.documents(spark, sf_dir)
     ranked = tokens.rank_tokens(tokens.token_importance(documents, ["text"]))
     rare = tokens.rare_tokens(ranked, DOCUMENT_KEPT)
     out = tokens.collapse_rare(documents, ["doc_id"], rare, ["text"], literal_tokens=0)
@@ -150,11 +150,11 @@ def one_hot_rows(spark, sf_dir):
 
 
 def token_vocabulary(spark, sf_dir):
-    return encoders.fit_vocabulary(proxies.table(spark, sf_dir, "documents"), ["text"])
+    return encoders.fit_vocabulary(proxies.documents(spark, sf_dir), ["text"])
 
 
 def document_token_counts(spark, sf_dir):
-    documents = proxies.table(spark, sf_dir, "documents")
+    documents = proxies.documents(spark, sf_dir)
     vocabulary = encoders.fit_vocabulary(documents, ["text"])
     return encoders.token_count_rows(documents, ["doc_id"], ["text"], vocabulary)
 

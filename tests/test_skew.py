@@ -24,7 +24,7 @@ def sizes(df):
 
 
 def test_hot_user_is_spread(spark, fixed_partitions):
-    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000)
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000 + 1)
     activity = spark.range(30_000).select(
         hot.alias("user_id"), (F.col("id") % 30 + 1).alias("day"), (F.col("id") % 5).alias("page"),
         F.col("id").alias("video_id"), (F.col("id") % 977).alias("author_id"), (F.col("id") % 6).alias("action_type"),
