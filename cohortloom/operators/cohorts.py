@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cohortloom.functions.binning import (
-    Bin, bin_index, bin_label, bin_table, cohort_bins, in_bin, period_bins,
+    Bin, bin_index, bin_label, bin_table, cohort_bins, period_bins,
 )
 from cohortloom.sources.schemas import HORIZON
 
@@ -40,10 +40,8 @@ def _bits(lo: int, hi: int) -> int:
     return sum(1 << d for d in range(lo + 1, hi + 1))
 
 
-def _active_in(lo: int, hi: int) -> Column:
-    return F.coalesce(F.col("days"), F.lit(0).cast("long")).bitwiseAND(
-        F.lit(_bits(lo, hi)).cast("long")
-    ) != 0
+def _active_in(lo: int, hi: int) -> str:
+    return f"coalesce(days, 0L) & {_bits(lo, hi)}L <> 0"
 
 
 def register_cohorts(register: DataFrame, bins: Sequence[Bin] | None = None) -> DataFrame:
@@ -103,27 +101,19 @@ def retention(
     ).filter(F.col("cohort_no").isNotNull()).distinct()
     known = users.join(day_masks(labels, horizon), "user_id", "left")
 
-    def belongs(row) -> Column:
+    def belongs(row) -> str:
         c, i, _, _, lo, hi = row
-        mine = F.col("cohort_no") == c
-        return mine if i == 0 else mine & _active_in(lo, hi)
+        mine = f"cohort_no = {c}"
+        return mine if i == 0 else f"{mine} AND {_active_in(lo, hi)}"
 
     counts = known.agg(
-        *[F.count(F.when(belongs(row), 1)).alias(f"n{k}") for k, row in enumerate(layout)]
+        *[F.expr(f"count(CASE WHEN {belongs(row)} THEN 1 END) AS n{k}") for k, row in enumerate(layout)]
     )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(row[0]).cast("long").alias("cohort_no"),
-                F.lit(row[1]).cast("long").alias("period_no"),
-                F.lit(row[2]).alias("cohort"),
-                F.lit(row[3]).alias("period"),
-                F.col(f"n{k}").alias("users"),
-            )
-            for k, row in enumerate(layout)
-        ]
+    rows = ", ".join(
+        f"struct({c}L AS cohort_no, {i}L AS period_no, '{cohort}' AS cohort, '{name}' AS period, n{k} AS users)"
+        for k, (c, i, cohort, name, _, _) in enumerate(layout)
     )
-    return counts.select(F.inline(rows))
+    return counts.selectExpr(f"inline(array({rows}))")
 
 
 def label_people(
@@ -140,21 +130,13 @@ def label_people(
         .select("user_id").distinct()
     )
     known = people.join(day_masks(labels, horizon), "user_id")
-    periods = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    _active_in(lo, hi),
-                    F.struct(
-                        F.lit(i).cast("long").alias("period_no"),
-                        F.lit(bin_label(lo, hi)).alias("period"),
-                    ),
-                )
-                for i, (lo, hi) in enumerate(period_bins(end_day, period, horizon))
-            ]
-        )
-    )
-    return known.select("user_id", F.inline(periods)).select("period_no", "period", "user_id")
+    periods = ", ".join(
+        f"CASE WHEN {_active_in(lo, hi)} THEN struct({i}L AS period_no, '{bin_label(lo, hi)}' AS period) END"
+        for i, (lo, hi) in enumerate(period_bins(end_day, period, horizon))
+    )
+    return known.selectExpr("user_id", f"inline(array_compact(array({periods})))").select(
+        "period_no", "period", "user_id"
+    )
 
 
 def label_people_counts(
@@ -183,7 +165,7 @@ def return_labels(
     )
     known = people.join(day_masks(labels, end_day + days), "user_id", "left")
     active = _active_in(end_day, end_day + days)
-    return known.select("user_id", F.when(active, 1).otherwise(0).cast("long").alias("label"))
+    return known.selectExpr("user_id", f"CASE WHEN {active} THEN 1L ELSE 0L END AS label")
 
 
 def membership(logs: Mapping[str, DataFrame]) -> DataFrame:
@@ -203,26 +185,17 @@ def set_audits(logs: Mapping[str, DataFrame]) -> DataFrame:
     """For every ordered pair of logs, how many users are in the one and not in the other."""
     names = list(logs)
     pairs = [(i, j) for i in range(len(names)) for j in range(len(names)) if i != j]
-    bits = F.col("bits")
 
-    def only(i: int, j: int) -> Column:
-        both = F.lit((1 << i) | (1 << j)).cast("long")
-        return bits.bitwiseAND(both) == F.lit(1 << i).cast("long")
+    def only(i: int, j: int) -> str:
+        return f"bits & {(1 << i) | (1 << j)}L = {1 << i}L"
 
     counts = membership(logs).agg(
-        *[F.count(F.when(only(i, j), 1)).alias(f"n{i}_{j}") for i, j in pairs]
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(names[i]).alias("in_log"),
-                F.lit(names[j]).alias("not_in_log"),
-                F.col(f"n{i}_{j}").alias("users"),
-            )
-            for i, j in pairs
-        ]
-    )
-    return counts.select(F.inline(rows))
+        *[F.expr(f"count(CASE WHEN {only(i, j)} THEN 1 END) AS n{i}_{j}") for i, j in pairs]
+    )
+    rows = ", ".join(
+        f"struct('{names[i]}' AS in_log, '{names[j]}' AS not_in_log, n{i}_{j} AS users)" for i, j in pairs
+    )
+    return counts.selectExpr(f"inline(array({rows}))")
 
 
 def users_missing(present: DataFrame, absent: DataFrame) -> DataFrame:
