@@ -4,43 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortloom.session import settle
 
-# Rows that may be broadcast by all lookups of one job together.
+# What may be broadcast by all lookups of one job together.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 128 << 20
 
+# Bytes of a hashed row besides its text.
+_ROW_BYTES = 64
 
-def assert_unique(table: DataFrame, keys: Sequence[str]) -> int:
-    """Number of rows of a lookup table; a double key is an error, it would multiply rows."""
+
+def row_bytes(columns: Sequence[str]) -> Column:
+    """Rough size of a row in a broadcast table: its text plus a fixed part."""
+    text = F.concat_ws("", *[F.col(c).cast("string") for c in columns])
+    return F.octet_length(text).cast("long") + F.lit(_ROW_BYTES)
+
+
+def measure(table: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows and bytes of a lookup table; a double key is an error, it would multiply rows."""
     sizes = (
         table.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.sum("n").alias("n_rows"), F.max("n").alias("deepest"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(table.columns)).alias("size"))
+        .agg(F.sum("n").alias("n_rows"), F.max("n").alias("deepest"), F.sum("size").alias("size"))
         .first()
     )
     if (sizes["deepest"] or 0) > 1:
         raise ValueError(f"lookup keys {list(keys)} are not unique")
-    return sizes["n_rows"] or 0
+    return sizes["n_rows"] or 0, sizes["size"] or 0
 
 
 def lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    broadcast_rows: int = BROADCAST_ROWS,
-    checked_rows: int | None = None,
+    rows: DataFrame, table: DataFrame, keys: Sequence[str], broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Left join on unique keys.
 
-    Up to ``broadcast_rows`` the table is broadcast and ``rows`` is not shuffled;
-    beyond that both sides are shuffled and adaptive execution splits hot keys.
+    The table is written once and measured. Within the limits it is broadcast and ``rows``
+    is not shuffled; beyond them both sides are shuffled and adaptive execution splits hot
+    keys.
     """
-    if checked_rows is None:
-        table = settle(table)
-        checked_rows = assert_unique(table, keys)
-    if checked_rows <= broadcast_rows:
+    table = settle(table)
+    n_rows, size = measure(table, keys)
+    if n_rows <= broadcast_rows and size <= BROADCAST_BYTES:
         table = F.broadcast(table)
     return rows.join(table, list(keys), "left")
 
@@ -57,29 +63,33 @@ def lookup_all(
     """Many lookups from one long table (feature, <stored keys>, value).
 
     ``keys[feature]`` names the columns of ``rows`` that stand for the stored key
-    columns. The long table is written once and its features are counted in one
-    small job; the smallest ones are broadcast until the row budget is used up.
+    columns. The long table is written once and its features are measured in one
+    small job; the smallest ones are broadcast until the budget of rows or bytes is
+    used up.
     """
     tables = settle(tables.select("feature", *stored, value))
-    per_key = tables.groupBy("feature", *stored).agg(F.count(F.lit(1)).alias("n"))
+    per_key = tables.groupBy("feature", *stored).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(row_bytes(stored)).alias("size")
+    )
+    # one row per feature name
     sizes = {
         r["feature"]: r
         for r in per_key.groupBy("feature")
-        .agg(F.count(F.lit(1)).alias("n_keys"), F.max("n").alias("deepest"))
+        .agg(F.count(F.lit(1)).alias("n_keys"), F.max("n").alias("deepest"), F.sum("size").alias("size"))
         .collect()
     }
     double = [f for f, r in sizes.items() if r["deepest"] > 1]
     if double:
         raise ValueError(f"lookup keys are not unique for {sorted(double)}")
-    left = broadcast_rows
+    left, left_bytes = broadcast_rows, BROADCAST_BYTES
     for feature in sorted(keys, key=lambda f: sizes[f]["n_keys"] if f in sizes else 0):
         wanted = [k for k in stored[: len(keys[feature])]]
         part = tables.filter(F.col("feature") == feature).select(
             *[F.col(s).alias(f"_{s}") for s in wanted], F.col(value).alias(f"{feature}{suffix}")
         )
-        n_keys = sizes[feature]["n_keys"] if feature in sizes else 0
-        if n_keys <= left:
-            left -= n_keys
+        n_keys, size = (sizes[feature]["n_keys"], sizes[feature]["size"]) if feature in sizes else (0, 0)
+        if n_keys <= left and size <= left_bytes:
+            left, left_bytes = left - n_keys, left_bytes - size
             part = F.broadcast(part)
         match = [rows[c] == F.col(f"_{s}") for s, c in zip(wanted, keys[feature])]
         rows = rows.join(part, match, "left").drop(*[f"_{s}" for s in wanted])

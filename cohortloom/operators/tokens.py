@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortloom.functions.joins import BROADCAST_ROWS
+from cohortloom.functions.joins import BROADCAST_BYTES, BROADCAST_ROWS, measure
 from cohortloom.functions.ordering import positions
 from cohortloom.functions.tokens import OTHER, replace_tokens
 from cohortloom.session import settle
@@ -14,6 +14,7 @@ from cohortloom.sources.schemas import MISSING, TOKENS_KEPT
 
 # Rare tokens that may be written into an expression as literals.
 LITERAL_TOKENS = 5_000
+LITERAL_BYTES = 1 << 20
 
 
 def token_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str], lower: bool = False) -> DataFrame:
@@ -76,8 +77,8 @@ def collapse_rare(
     put back in their places: a group is one row's own text, never more.
     """
     rare = settle(rare.select("feature", "token"))
-    n_rare = rare.count()
-    if n_rare <= literal_tokens:
+    n_rare, size = measure(rare, ["feature", "token"])
+    if n_rare <= literal_tokens and size <= LITERAL_BYTES:
         listed: dict[str, list[str]] = {c: [] for c in columns}
         for row in rare.collect():
             if row["feature"] in listed:
@@ -85,7 +86,7 @@ def collapse_rare(
         return df.select(*keys, *[replace_tokens(F.col(c), listed[c]).alias(c) for c in columns])
 
     marked = rare.withColumn("_rare", F.lit(True))
-    if n_rare <= broadcast_rows:
+    if n_rare <= broadcast_rows and size <= BROADCAST_BYTES:
         marked = F.broadcast(marked)
     tokens = token_rows(df, keys, columns).join(marked, ["feature", "token"], "left")
     token = F.when(F.col("_rare"), OTHER).otherwise(F.col("token"))
