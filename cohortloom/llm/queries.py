@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.llm import chat, mixing, repetition, token_files
+from cohortloom.llm import chat, decontamination, mixing, near_duplicates, repetition, token_files
 from cohortloom.llm.common import SQL_WORDS, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.drop("longest_repeat", "n_maximal_repeats")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -41,11 +45,17 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(conversations.unionByName(control)))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_repetition": op2_repetition,
+    "op3_decontamination": op3_decontamination,
     "op5_mixing": op5_mixing,
     "op6_token_files": op6_token_files,
     "op7_chat": op7_chat,
+    "op8_near_duplicates": op8_near_duplicates,
 }
 
 ORACLES: dict[str, str] = {}
