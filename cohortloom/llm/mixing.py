@@ -81,6 +81,8 @@ def source_cuts(
     rows = sized.join(named, sized["source"].eqNullSafe(F.col("_source"))).select(
         "source", "doc_id", "size", "key", "rest", bucket.alias("bucket")
     )
+    # dealt by bucket, or the join's partitions by source would serve the window and stay whole
+    rows = rows.repartition("source", "bucket")
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     ahead = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")).select(
         F.col("source").alias("_source"), F.col("bucket").alias("_bucket"),
