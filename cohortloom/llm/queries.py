@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.llm import chat, decontamination, mixing, near_duplicates, repetition, token_files
+from cohortloom.llm import chat, decontamination, mixing, near_duplicates, passages, repetition, token_files
 from cohortloom.llm.common import SQL_WORDS, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,10 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_repetition": op2_repetition,
     "op3_decontamination": op3_decontamination,
@@ -56,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "op6_token_files": op6_token_files,
     "op7_chat": op7_chat,
     "op8_near_duplicates": op8_near_duplicates,
+    "op10_passages": op10_passages,
 }
 
 ORACLES: dict[str, str] = {}
