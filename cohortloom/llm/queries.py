@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortloom.llm import chat, decontamination, mixing, near_duplicates, passages, repetition, token_files
+from cohortloom.llm import chat, decontamination, lines, mixing, near_duplicates, passages, repetition, token_files
 from cohortloom.llm.common import SQL_WORDS, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "removed", F.md5("text").alias("text_md5"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -56,6 +61,7 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_repetition": op2_repetition,
     "op3_decontamination": op3_decontamination,
+    "op4_lines": op4_lines,
     "op5_mixing": op5_mixing,
     "op6_token_files": op6_token_files,
     "op7_chat": op7_chat,
