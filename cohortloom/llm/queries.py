@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortloom.llm import chat, decontamination, lines, mixing, near_duplicates, passages, repetition, token_files
+from cohortloom.llm import chat, class_lm, decontamination, lines, mixing, near_duplicates, passages, repetition, token_files, toxicity
 from cohortloom.llm.common import SQL_WORDS, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = repetition.repetition_rules(table(spark, sf_dir, "documents"))
     return rules.drop("longest_repeat", "n_maximal_repeats")
@@ -54,11 +58,16 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.class_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_repetition": op2_repetition,
     "op3_decontamination": op3_decontamination,
     "op4_lines": op4_lines,
@@ -66,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op6_token_files": op6_token_files,
     "op7_chat": op7_chat,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_class_lm": op9_class_lm,
     "op10_passages": op10_passages,
 }
 
