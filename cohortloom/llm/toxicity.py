@@ -29,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortloom.llm.common import arrow_types, words
+from cohortloom.llm.tokens import scramble
 
 WIDTH = 24
 SIZE = 12
 HIDDEN = 10
 WORD_BUCKETS = 1 << 14
 RUN_BUCKETS = 1 << 16
+RUNS = (3, 4, 5)
 PER_LABEL = 2000
 LONGEST = 6000
 ROUNDS = 3
@@ -42,18 +44,32 @@ EPOCHS = 4
 BATCH = 256
 RATE = 0.01
 # Words a worker keeps ready, and windows it reads at once.
-CACHE = 1 << 17
+CACHE = 1 << 18
 AT_ONCE = 2048
 FOLDS, HELD_OUT = 5, 0
 
 Weights = dict[str, np.ndarray]
 
 
-def runs_of(word: bytes) -> list[int]:
-    """Buckets of a word's character runs of 3 to 5, the word's ends marked."""
-    marked = b"^" + word[:64] + b"$"
-    n = len(marked)
-    return [zlib.crc32(marked[i : i + k]) % RUN_BUCKETS for k in (3, 4, 5) for i in range(max(1, n - k + 1))]
+def runs_of(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words' character runs of 3 to 5, the ends marked, and where each word's start."""
+    marked = [b"^" + w[:64] + b"$" for w in found]
+    length = np.array([len(m) for m in marked], np.int64)
+    text = np.frombuffer(b"".join(marked) + bytes(8), np.uint8).astype(np.uint64)
+    word = np.repeat(np.arange(len(found)), length)
+    left = np.repeat(np.cumsum(length), length) - np.arange(len(word))
+    buckets, owner = [], []
+    for k in RUNS:
+        at = np.flatnonzero(left >= k)
+        value = np.full(len(at), k, np.uint64)
+        for j in range(k):
+            value = value * np.uint64(257) + text[at + j]
+        buckets.append((scramble(value) % np.uint64(RUN_BUCKETS)).astype(np.int64))
+        owner.append(word[at])
+    owner_all = np.concatenate(owner)
+    order = np.argsort(owner_all, kind="stable")
+    start = np.append(0, np.cumsum(np.bincount(owner_all, minlength=len(found))))
+    return np.concatenate(buckets)[order], start
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -152,29 +168,20 @@ def gradients(w: Weights, given: dict[str, np.ndarray], mask: np.ndarray, label:
     return out, to_given, loss
 
 
-class Vocabulary:
-    """Distinct words of the sample with their buckets."""
+class Vocabulary(dict):
+    """Word to its number, in order of appearance."""
 
-    def __init__(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.word: list[int] = []
-        self.runs: list[list[int]] = []
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
 
     def ids(self, found: list[bytes]) -> np.ndarray:
-        out = np.empty(len(found), np.int64)
-        for i, w in enumerate(found):
-            k = self.number.get(w)
-            if k is None:
-                k = self.number[w] = len(self.word)
-                self.word.append(zlib.crc32(w) % WORD_BUCKETS)
-                self.runs.append(runs_of(w))
-            out[i] = k
-        return out
+        return np.fromiter(map(self.__getitem__, found), np.int64, len(found))
 
     def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word buckets, all run buckets one after the other, and where each word's start."""
-        lengths = np.array([len(r) for r in self.runs], np.int64)
-        return np.array(self.word, np.int64), np.fromiter((b for r in self.runs for b in r), np.int64), np.append(0, np.cumsum(lengths))
+        found = list(self)
+        return np.array([zlib.crc32(w) % WORD_BUCKETS for w in found], np.int64), *runs_of(found)
 
 
 def word_vectors(w: Weights, word: np.ndarray, runs: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -208,15 +215,14 @@ class Adam:
             w[k] -= scale * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)
 
 
-def log_odds(docs: list[np.ndarray], labels: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+def log_odds(docs: list[np.ndarray], labels: np.ndarray, runs: np.ndarray, start: np.ndarray) -> np.ndarray:
     """For each word the largest log odds of its character runs, by documents that hold them."""
     seen = np.ones((2, RUN_BUCKETS))
     for ids, label in zip(docs, labels):
-        held = {b for i in np.unique(ids).tolist() for b in vocabulary.runs[i]}
-        seen[int(label), list(held)] += 1
+        held = [runs[start[i] : start[i + 1]] for i in np.unique(ids)]
+        seen[int(label), np.unique(np.concatenate(held)) if held else []] += 1
     n = np.bincount(labels.astype(np.int64), minlength=2) + 2.0
     odds = np.log(seen[1] / n[1]) - np.log(seen[0] / n[0])
-    _, runs, start = vocabulary.flat()
     return np.maximum.reduceat(odds[runs], start[:-1])
 
 
@@ -230,7 +236,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 5, rounds: int = ROU
     word, runs, start = vocabulary.flat()
     length = np.diff(start)
     cut = [cut_windows(d) for d in docs]
-    odds = log_odds(docs, labels, vocabulary)
+    odds = log_odds(docs, labels, runs, start)
     for turn in range(rounds):
         if turn == 0:
             worth = np.append(odds, -9.0)
@@ -303,9 +309,7 @@ class Scorer:
 
     def learn(self, new: list[bytes]) -> None:
         first = len(self.number)
-        found = [runs_of(x) for x in new]
-        start = np.append(0, np.cumsum([len(r) for r in found]))
-        flat = np.fromiter((b for r in found for b in r), np.int64)
+        flat, start = runs_of(new)
         vectors = word_vectors(self.w, np.array([zlib.crc32(x) % WORD_BUCKETS for x in new]), flat, start)
         for s in "fb":
             self.given[s][first : first + len(new)] = vectors @ self.w[f"x{s}"] + self.w[f"c{s}"]
