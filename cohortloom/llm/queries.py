@@ -66,6 +66,12 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_repetition": op2_repetition,
@@ -77,6 +83,93 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_class_lm": op9_class_lm,
     "op10_passages": op10_passages,
+    "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {}
+# A repeat of five words or more covers what its five-word windows cover, and a repeat of
+# more than a hundred words is a window of 101 that occurs twice; so SQL needs no suffixes.
+_REPETITION = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {SQL_WORDS} AS w FROM documents),
+n AS (SELECT doc_id, text, w, CAST(len(w) AS BIGINT) AS n_words FROM d),
+windows AS (
+    SELECT doc_id, size, i, list_slice(w, i, i + size - 1) AS run
+    FROM n, (VALUES (5), (8), (101)) AS s(size), unnest(generate_series(1, n_words - size + 1)) AS g(i)
+),
+repeated AS (
+    SELECT doc_id, size, unnest(places) AS i
+    FROM (SELECT doc_id, size, list(i) AS places FROM windows GROUP BY doc_id, size, run HAVING count(*) > 1)
+),
+spots AS (SELECT DISTINCT doc_id, size, i + k AS at FROM repeated, unnest(generate_series(0, size - 1)) AS g(k)),
+covered AS (
+    SELECT doc_id, count(*) FILTER (size = 5) AS covered_words, count(*) FILTER (size = 8) AS n_repeat_words,
+        count(*) FILTER (size = 101) AS too_long
+    FROM spots GROUP BY doc_id
+),
+lines AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM n)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+),
+base AS (
+    SELECT doc_id, n_words,
+        CAST(length(text) - length(regexp_replace(text, '[^\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        coalesce(covered_words, 0) AS covered_words, coalesce(too_long, 0) AS too_long
+    FROM n LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id)
+),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND covered_words <= 0.3 * n_words AND too_long = 0 AS kept, covered_words
+FROM judged
+"""
+
+_MIXING = rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, source, CAST(len({SQL_WORDS}) AS BIGINT) AS size, md5(CAST(doc_id AS VARCHAR)) AS key FROM documents
+),
+s AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+        CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS BIGINT) AS weight
+    FROM d GROUP BY source
+),
+-- sources by the level at which they are full: those below a level are taken whole
+r AS (SELECT *, 3 * source_size / weight AS full_at FROM s),
+f AS (
+    SELECT a.full_at, (SELECT sum(source_size) FROM s) - coalesce(sum(b.source_size * 3) FILTER (b.full_at < a.full_at), 0) AS left_over,
+        sum(b.weight) FILTER (b.full_at >= a.full_at) AS weights
+    FROM (SELECT DISTINCT full_at FROM r) a, r b GROUP BY a.full_at
+),
+level AS (SELECT arg_min(left_over / weights, full_at) FILTER (left_over / weights <= full_at) AS level FROM f),
+t AS (SELECT source, source_size, round(least(CAST(source_size * 3 AS DOUBLE), weight * level), 6) AS target FROM r, level),
+o AS (
+    SELECT d.*, source_size, target,
+        CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3) ELSE 0 END AS rounds,
+        sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) - size + size / 2 AS middle
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+),
+c AS (SELECT *, CAST(least(rounds + CASE WHEN middle <= target - rounds * source_size THEN 1 ELSE 0 END, 3) AS BIGINT) AS copies FROM o)
+SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM c
+"""
+
+# Constant parts of the template around a user's turn: <s>[ROLE][/ROLE][INST][/INST], and
+# around an assistant's: [ROLE][/ROLE]</s>.
+_CHAT = r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+e AS (
+    SELECT *, role = 'assistant' AS learned,
+        length(text) + length(role) + length(regexp_replace(text || role, '[^\\<\[]', '', 'g')) AS escaped
+    FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (learned), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (learned), '')) AS loss_sha256,
+    CAST(sum(escaped + CASE WHEN learned THEN length('[ROLE][/ROLE]</s>') ELSE length('<s>[ROLE][/ROLE][INST][/INST]') END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op2_repetition": _REPETITION, "op5_mixing": _MIXING, "op7_chat": _CHAT}

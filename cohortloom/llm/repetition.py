@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortloom.llm.common import BLANKS, map_rows, words
 
-MIN_REPEAT = 8
-MAX_COVERED = 0.25
+MIN_REPEAT = 5
+MAX_COVERED = 0.3
 MAX_LONGEST = 100
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
