@@ -258,28 +258,29 @@ def fold(node: object) -> object:
 def fold_all(body: tuple) -> tuple:
     out: list[object] = []
     for node in body:
-        if isinstance(node, If):
-            branches = []
-            for condition, inner in ((fold(c), b) for c, b in node.branches):
-                if isinstance(condition, Const) and not condition.value:
-                    continue
-                branches.append((condition, fold_all(inner)))
-                if isinstance(condition, Const):
-                    break
-            if branches and isinstance(branches[0][0], Const):
-                out.extend(branches[0][1])
-            elif branches:
-                out.append(If(tuple(branches)))
-            continue
-        node = fold(node)
-        last = out[-1] if out else None
-        if all(isinstance(x, Out) and isinstance(x.value, Const) for x in (node, last)):
-            out[-1] = Out(Const(str(last.value.value) + str(node.value.value)))
-        else:
-            out.append(node)
+        for x in fold_branches(node) if isinstance(node, If) else (fold(node),):
+            last = out[-1] if out else None
+            if all(isinstance(o, Out) and isinstance(o.value, Const) for o in (x, last)):
+                out[-1] = Out(Const(str(last.value.value) + str(x.value.value)))
+            else:
+                out.append(x)
     return tuple(out)
 
 
+def fold_branches(node: If) -> tuple:
+    """The branches whose condition is not known; of a first one known to hold, its body."""
+    branches = []
+    for condition, inner in ((fold(c), b) for c, b in node.branches):
+        if isinstance(condition, Const) and not condition.value:
+            continue
+        branches.append((condition, fold_all(inner)))
+        if isinstance(condition, Const):
+            break
+    if branches and isinstance(branches[0][0], Const):
+        return branches[0][1]
+    return (If(tuple(branches)),) if branches else ()
+
+
 def value(node: object) -> Callable[[dict], object]:
     """An expression as a closure over the names in scope."""
     if isinstance(node, Const):
