@@ -39,6 +39,8 @@ SIMILAR = 0.8
 BANDS = 16
 ROWS = 6
 BUCKETS = 1 << 18
+# Further centres of a bucket before its open pairs are compared.
+HUBS = 3
 # Sets of random numbers that shingles are dealt to by hash.
 DRAWS = 1 << 15
 BLOCK = 1 << 13
@@ -238,8 +240,7 @@ def text_classes(
     same = (placed["id"].eqNullSafe(F.col("first_id"))) & (placed["digest"] == F.col("_digest"))
     texts = keep(placed.join(named, same).groupBy("node").agg(F.any_value("text").alias("text")))
 
-    links = linked(members, texts, idf, least, keep)
-    joined = components(links)
+    joined = connected(members, texts, idf, least, keep)
     roots = nodes.select("node", "digest", "first_id", "n").join(joined, "node", "left")
     roots = keep(roots.withColumn("root", F.coalesce("root", "node")))
     keep.drop(members, texts)
@@ -247,8 +248,8 @@ def text_classes(
     return roots.select("digest", "root"), sizes
 
 
-def linked(members: DataFrame, texts: DataFrame, idf: Broadcast, least: float, keep: Written) -> DataFrame:
-    """Links (a, b) that connect all members of a bucket which similar pairs connect."""
+def connected(members: DataFrame, texts: DataFrame, idf: Broadcast, least: float, keep: Written) -> DataFrame:
+    """(node, root) of the members that similar pairs within buckets connect."""
     weights = members.select("node", "weight").distinct()
 
     def similar(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -260,26 +261,33 @@ def linked(members: DataFrame, texts: DataFrame, idf: Broadcast, least: float, k
 
     star = members.filter("node != centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
     tested, links = similar(star)
-    for turn in range(2):
-        roots = components(links)
-        now = members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-        open_buckets = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-        left = keep(now.join(open_buckets.select("bucket"), "bucket"))
-        if turn == 0:
+    used = members.select("bucket", F.col("centre").alias("node")).distinct()
+    joined = components(links)
+    for turn in range(HUBS + 1):
+        now = members.join(joined, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+        split = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+        left = keep(now.join(split.select("bucket"), "bucket"))
+        if turn < HUBS:
             ends = links.select(F.explode(F.array("a", "b")).alias("node"))
             degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-            ranked = left.join(degree, "node", "left")
-            hub = ranked.groupBy("bucket").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)), "node", "root")).alias("hub"))
-            pairs = left.join(hub, "bucket").select(
-                F.col("node").alias("x"), F.col("root").alias("rx"), F.col("hub.node").alias("y"), F.col("hub.root").alias("ry")
+            fresh_hubs = left.join(used, ["bucket", "node"], "left_anti").join(degree, "node", "left")
+            hub = keep(
+                fresh_hubs.groupBy("bucket").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)), "node", "root")).alias("hub")).select(
+                    "bucket", F.col("hub.node").alias("y"), F.col("hub.root").alias("ry")
+                )
             )
+            used = used.unionByName(hub.select("bucket", F.col("y").alias("node")))
+            pairs = left.join(hub, "bucket").withColumnsRenamed({"node": "x", "root": "rx"})
         else:
             other = left.select("bucket", F.col("node").alias("y"), F.col("root").alias("ry"))
             pairs = left.select("bucket", F.col("node").alias("x"), F.col("root").alias("rx")).join(other, "bucket")
         fresh = pairs.filter("rx != ry").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         more, found = similar(fresh.join(tested, ["a", "b"], "left_anti"))
         tested, links = tested.unionByName(more), links.unionByName(found)
-    return links
+        # the components so far stand for the links that made them
+        known = joined.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        joined = components(known.unionByName(found))
+    return joined
 
 
 def one_of_each(documents: DataFrame, **settings: float) -> DataFrame:
