@@ -25,19 +25,22 @@ from cohortloom.operators.metrics import roc_auc
 from cohortloom.session import settle
 
 
+# Every token keeps its column.
+_ALL = (1 << 31) - 1
+
+
 def design_matrix(
     categories: Sequence[str] = (),
     tokens: Sequence[str] = (),
     numbers: Sequence[str] = (),
     hashed: Sequence[str] = (),
     hash_width: int = 1 << 18,
-    vocabulary: int = 1 << 18,
     output: str = "features",
 ) -> Pipeline:
     """One-hot, token-count and numeric blocks in one sparse vector column.
 
-    Every level keeps its column and unknown ones share one. Columns with too many levels
-    for an index on the driver go through ``hashed``, whose width is fixed.
+    Every level and token keeps its column and unknown levels share one. Columns with too
+    many of them for an index on the driver go through ``hashed``, whose width is fixed.
     """
     stages, inputs = [], []
     if categories:
@@ -51,7 +54,7 @@ def design_matrix(
         split = ", ".join(f"split(lower({t}), ' ') AS {t}_tokens" for t in tokens)
         stages.append(SQLTransformer(statement=f"SELECT *, {split} FROM __THIS__"))
         for t in tokens:
-            stages.append(CountVectorizer(inputCol=f"{t}_tokens", outputCol=f"{t}_counts", vocabSize=vocabulary))
+            stages.append(CountVectorizer(inputCol=f"{t}_tokens", outputCol=f"{t}_counts", vocabSize=_ALL))
             inputs.append(f"{t}_counts")
     if hashed:
         stages.append(FeatureHasher(inputCols=list(hashed), outputCol="_hashed", numFeatures=hash_width))

@@ -134,11 +134,11 @@ def token_pair_rates(samples: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Rates are counted per (feature, token, aid), then looked up for every token and
     averaged. Both sides of that join are keyed by token and ad, so a token that is
-    everywhere is spread over the ads.
+    everywhere is spread over the ads. A pair without tokens stays, its averages NULL.
     """
-    tokens = token_rows(samples.filter(F.col("label").isNotNull()), ["uid", "aid", "label"], columns)
-    tokens = tokens.filter(F.col("token") != MISSING)
-    seen = tokens.filter(F.col("label") != -1).groupBy("feature", "token", "aid").agg(
+    filled = samples.filter(F.col("label").isNotNull()).na.fill(MISSING, list(columns))
+    tokens = token_rows(filled, ["uid", "aid", "label"], columns)
+    seen = tokens.filter((F.col("token") != MISSING) & (F.col("label") != -1)).groupBy("feature", "token", "aid").agg(
         ratio(F.sum("label"), F.count(F.lit(1))).alias("rate")
     )
     joined = tokens.join(seen, ["feature", "token", "aid"], "left")

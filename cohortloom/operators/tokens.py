@@ -72,9 +72,11 @@ def collapse_rare(
 ) -> DataFrame:
     """Replace the rare tokens of each column by 'other'; returns keys and columns.
 
-    A short list goes into the projection and nothing moves. A long one is joined on
-    (feature, token), broadcast only up to its counted limit, and the tokens of a row are
-    put back in their places: a group is one row's own text, never more.
+    Every row of ``df`` comes back once, whatever its keys and texts; NULL stays NULL. A
+    short list goes into the projection and nothing moves. A long one is joined on
+    (feature, token), broadcast only up to its counted limit; the rows are written with a
+    number of their own, by which their tokens are put back in their places: a group is
+    one row's own text, never more.
     """
     rare = settle(rare.select("feature", "token"))
     n_rare, size = measure(rare, ["feature", "token"])
@@ -88,9 +90,10 @@ def collapse_rare(
     marked = rare.withColumn("_rare", F.lit(True))
     if n_rare <= broadcast_rows and size <= BROADCAST_BYTES:
         marked = F.broadcast(marked)
-    tokens = token_rows(df, keys, columns).join(marked, ["feature", "token"], "left")
+    rows = settle(df.select(*keys, *columns).withColumn("_row", F.monotonically_increasing_id()))
+    tokens = token_rows(rows, ["_row"], columns).join(marked, ["feature", "token"], "left")
     token = F.when(F.col("_rare"), OTHER).otherwise(F.col("token"))
-    placed = tokens.select(*keys, "feature", F.struct("place", token.alias("token")).alias("_at"))
+    placed = tokens.select("_row", "feature", F.struct("place", token.alias("token")).alias("_at"))
 
     def text(column: str) -> Column:
         mine = F.array_sort(F.collect_list(F.when(F.col("feature") == column, F.col("_at"))))
@@ -98,7 +101,8 @@ def collapse_rare(
             F.size(mine) > 0, F.array_join(F.transform(mine, lambda x: x["token"]), " ")
         ).alias(column)
 
-    return placed.groupBy(*keys).agg(*[text(c) for c in columns])
+    texts = placed.groupBy("_row").agg(*[text(c) for c in columns])
+    return rows.select("_row", *keys).join(texts, "_row", "left").select(*keys, *columns)
 
 
 def keep_top(

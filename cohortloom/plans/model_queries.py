@@ -10,7 +10,6 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortloom.functions import splitting
-from cohortloom.functions.tokens import replace_tokens
 from cohortloom.operators import encoders, models, rates, screening, tokens
 from cohortloom.plans import proxies
 from cohortloom.plans.activity_queries import rounded
@@ -112,17 +111,17 @@ def tree_leaves(spark, sf_dir):
 
 
 def single_fits(spark, sf_dir):
-    """Two candidates, each alone on top of the base."""
+    """Every other category, each alone on top of the base."""
     return rounded(models.single_additions(
-        known(spark, sf_dir), ["gender"], ["age", "producttype"], lambda: models.logistic_alpha(0.001, 5)
+        known(spark, sf_dir), ["gender"], [c for c in CATEGORIES if c != "gender"], lambda: models.logistic_alpha(0.001, 5)
     ))
 
 
 def forward_selection(spark, sf_dir):
-    """The best three of the one-pass screen, added one after the other."""
+    """All candidates in the order of the one-pass screen, added one after the other."""
     df = known(spark, sf_dir)
     screened = screening.screen_features(df, {c: SCREENED[c] for c in CATEGORIES if c != "gender"})
-    ranked = [r["var_name"] for r in screened.orderBy(F.desc("AUC_1"), "var_name").limit(3).collect()]
+    ranked = [r["var_name"] for r in screened.orderBy(F.desc("AUC_1"), "var_name").collect()]
     return rounded(models.forward_selection(df, ["gender"], ranked, lambda: models.logistic_alpha(0.001, 5)))
 
 
@@ -133,8 +132,7 @@ def token_cut_fits(spark, sf_dir):
     points = {}
     for kept in (4, 8):
         rare = tokens.rare_tokens(ranked, {"interest1": kept})
-        listed = [r["token"] for r in rare.collect()]
-        cut = df.withColumn("interest1", replace_tokens(F.col("interest1"), listed))
+        cut = settle(tokens.collapse_rare(df, ["gender", "label", "is_train"], rare, ["interest1"]))
         _, points[(kept,)] = models.fit_and_score(
             cut, models.design_matrix(categories=["gender"], tokens=["interest1"]), models.logistic_alpha(0.001, 5)
         )

@@ -48,7 +48,7 @@ def user_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"),
-        F.ascii("c_mktsegment").cast("long").alias("register_type"),
+        F.conv(F.substring(F.md5("c_mktsegment"), 1, 8), 16, 10).cast("long").alias("register_type"),
         F.col("c_nationkey").cast("long").alias("device_type"),
     )
     return first.join(customer, "o_custkey", "left").select(
@@ -131,7 +131,7 @@ _SQL_STEP = f"CAST(date_diff('day', DATE '{ORDER_START}', CAST({{0}} AS DATE)) /
 LOGS_SQL = f"""
 register AS (
   SELECT o_custkey AS user_id, {_SQL_STEP.format('min(o_orderdate)')} AS register_day,
-         min(CAST(ascii(c_mktsegment) AS BIGINT)) AS register_type,
+         min(CAST('0x' || substr(md5(c_mktsegment), 1, 8) AS BIGINT)) AS register_type,
          min(CAST(c_nationkey AS BIGINT)) AS device_type
   FROM orders LEFT JOIN customer ON c_custkey = o_custkey GROUP BY o_custkey),
 launch AS (

@@ -446,6 +446,18 @@ def _attached_sql(features, gap=None, source: str = "samples", extra: str = "")
     return f"SELECT uid, aid{extra}, {', '.join(wanted)} FROM {source} s {' '.join(joins)}"
 
 
+def _own_rates_sql(features, gap=None) -> str:
+    """Rates of the keys of each row by windows, for features counted over the same rows."""
+    wanted = []
+    for f, columns in features.items():
+        over = f"OVER (PARTITION BY {', '.join(columns)})"
+        known = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+        rate = f"sum(label) FILTER (label <> -1) {over} / nullif(count(*) FILTER (label <> -1) {over}, 0) * 100.0"
+        value = f"round(CASE WHEN {known} THEN {rate} END, 6)"
+        wanted.append(f"{f'coalesce({value}, {gap})' if gap is not None else value} AS {f}_ctr")
+    return f"SELECT uid, aid, {', '.join(wanted)} FROM samples"
+
+
 def _auc_sql(source: str, by: str = "") -> str:
     group = f"{by}, " if by else ""
     part = f"PARTITION BY {by}" if by else ""
@@ -573,10 +585,10 @@ ORACLES = {
           FROM (SELECT feature, val FROM codes UNION ALL SELECT feature, val FROM vocab) GROUP BY 1)""",
         "starts AS (SELECT feature, CAST(sum(n) OVER (ORDER BY place) - n AS BIGINT) AS start FROM sizes)") +
         'SELECT uid, aid, "index" + start AS "column", value FROM blocks JOIN starts USING (feature)',
-    "ctr_attribute_ad": _with(_rates_cte(ATTRIBUTE_AD)) + _attached_sql(ATTRIBUTE_AD),
+    "ctr_attribute_ad": _with() + _own_rates_sql(ATTRIBUTE_AD),
     "ctr_attribute_ad_table": _rates_sql(ATTRIBUTE_AD),
-    "ctr_attribute_pair": _with(_rates_cte(ATTRIBUTE_PAIR)) + _attached_sql(ATTRIBUTE_PAIR),
-    "ctr_three_keys": _with(_rates_cte(THREE_KEYS)) + _attached_sql(THREE_KEYS),
+    "ctr_attribute_pair": _with() + _own_rates_sql(ATTRIBUTE_PAIR),
+    "ctr_three_keys": _with() + _own_rates_sql(THREE_KEYS),
     "ctr_three_keys_table": _rates_sql(THREE_KEYS),
     "ctr_token_bucket": _with(f"counted AS (SELECT *, {_count_sql('interest2')} AS interest2cnt FROM samples)",
         _rates_cte({"interest2cnt": ["interest2cnt", "aid"]}, "counted")) +
@@ -587,11 +599,11 @@ ORACLES = {
         "p AS (SELECT feature, CASE WHEN strength > 0 THEN mean * strength ELSE 0 END AS a, CASE WHEN strength > 0 THEN (1 - mean) * strength ELSE 0 END AS b FROM s)") +
         """SELECT feature, key1, key2, clicks, exposures, round(a, 6) AS a, round(b, 6) AS b,
         round((clicks + a) / (exposures + a + b), 6) AS smoothed FROM rates JOIN p USING (feature)""",
-    "ctr_gaps_filled": _with(_rates_cte(ATTRIBUTE_AD)) + _attached_sql(ATTRIBUTE_AD, gap=0.0),
+    "ctr_gaps_filled": _with() + _own_rates_sql(ATTRIBUTE_AD, gap=0.0),
     "ctr_tokens": _with(_tokens_cte("t", "samples", TOKEN_COLUMNS, "uid, aid, label"),
         "r AS (SELECT feature, token, aid, sum(label) / count(*) AS rate FROM t WHERE token <> '-1' AND label <> -1 GROUP BY 1, 2, 3)") +
         "SELECT t.uid, t.aid, " + ", ".join(f"round(avg(rate) FILTER (t.feature = '{c}'), 6) AS {c}ctr" for c in TOKEN_COLUMNS) +
-        " FROM t LEFT JOIN r ON r.feature = t.feature AND r.token = t.token AND r.aid = t.aid WHERE t.token <> '-1' GROUP BY 1, 2",
+        " FROM t LEFT JOIN r ON r.feature = t.feature AND r.token = t.token AND r.aid = t.aid GROUP BY 1, 2",
     "ad_exposures": _with("e AS (SELECT aid, count(*) AS exposures FROM samples GROUP BY 1)") +
         "SELECT uid, aid, exposures FROM samples LEFT JOIN e USING (aid)",
     "history_rates": _with(_rates_cte({c: [c] for c in ("aid", "lbs", "advertiserid", "producttype")})) +

@@ -16,7 +16,7 @@ import duckdb
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as contract  # noqa: E402
-from cohortloom.session import build_session  # noqa: E402
+from cohortloom.session import build_session, drop_settled  # noqa: E402
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -100,6 +100,7 @@ def main() -> int:
         except Exception as error:  # noqa: BLE001
             problem, n = f"{type(error).__name__}: {str(error)[:900]}", ""
         bad += problem is not None
+        drop_settled(spark)
         print(f"{'ok ' if problem is None else 'BAD'} {name} {time.time() - start:.1f}s {n} {problem or ''}", flush=True)
     print(f"{bad} bad")
     return bad

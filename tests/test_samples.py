@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
 
 from cohortloom.functions import joins, ordering, scalars, splitting
@@ -34,6 +35,21 @@ def test_collapse_rare_both_ways(spark, rows, literal, broadcast):
     assert rows(out) == [(1, "7 other other", "a"), (2, "-1", "other a"), (3, "7  other", None)]
 
 
+@pytest.mark.parametrize("literal", [100, 1, 0])
+@pytest.mark.parametrize("broadcast", [100, 0])
+def test_collapse_rare_keeps_every_row(spark, rows, literal, broadcast):
+    df = spark.createDataFrame(
+        [(1, "a b", None), (2, None, None), (3, "c", "b"), (1, "c d", "b b"), (1, "a b", None), (None, "b", "a")],
+        "k long, x string, y string",
+    )
+    rare = spark.createDataFrame([("x", "b"), ("x", "d"), ("y", "b")], "feature string, token string")
+    out = tokens.collapse_rare(df, ["k"], rare, ["x", "y"], literal, broadcast)
+    assert rows(out) == [
+        (None, "other", "a"), (1, "a other", None), (1, "a other", None), (1, "c other", "other other"), (2, None, None),
+        (3, "c", "other"),
+    ]
+
+
 def test_rank_and_cut(spark, rows):
     table = spark.createDataFrame(
         [("f", "a", 3.0), ("f", "b", 5.0), ("f", "c", 3.0), ("f", "-1", 99.0), ("g", "z", 1.0)],
@@ -251,3 +267,18 @@ def test_only_the_wanted_partition_is_read(spark):
     assert [r["v"] for r in plan.collect()] == [1]
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in text and "feature" in text.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_headers_are_checked(spark, tmp_path):
+    from cohortloom.sources import readers, schemas
+
+    (tmp_path / "ok.csv").write_text("a,b\n1,x\n")
+    (tmp_path / "turned.csv").write_text("b,a\n1,x\n")
+    schema = StructType.fromDDL("a int, b string")
+    assert readers.read_csv(spark, str(tmp_path / "ok.csv"), schema).collect() == [(1, "x")]
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, str(tmp_path / "turned.csv"), schema).collect()
+    names = [f.name for f in schemas.APP_LAUNCH.fields]
+    (tmp_path / "log").write_text("\t".join(names[::-1]) + "\n" + "\t".join("1" for _ in names) + "\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_log(spark, str(tmp_path / "log"), "app_launch").collect()
