@@ -263,11 +263,16 @@ def similar_lines(
         either = F.size("tx") + F.size("ty") - shared
         return keep(both.filter(shared >= F.round(F.lit(similar) * either, 9)).select("x", "y"))
 
-    # a first look: each line against the first line that has one of its rarest shared tokens
+    # a first look: each line against the first and the most frequent line that have one of its rarest
+    # shared tokens; of a line with many variants that is most often the line itself
     long = classes.filter(F.col("size") > SHORT)
-    keyed = long.select("node", "size", "bitmap", F.explode(F.slice("tokens", 1, KEYS)).alias("key"))
-    heads = keyed.groupBy("key").agg(F.min(F.struct("node", "size", "bitmap")).alias("head"), F.count(F.lit(1)).alias("f")).filter("f > 1")
-    looks = sided(keyed, "y", "key").join(heads.select("key", "head.*").transform(lambda d: sided(d, "x", "key")), "key")
+    keyed = long.select("node", "size", "bitmap", "n", F.explode(F.slice("tokens", 1, KEYS)).alias("key"))
+    line = ("node", "size", "bitmap")
+    heads = keyed.groupBy("key").agg(
+        F.min(F.struct(*line)).alias("first"), F.max(F.struct("n", -F.col("node"), *line)).alias("most"), F.count(F.lit(1)).alias("f")
+    ).filter("f > 1")
+    both_heads = heads.select("key", "first.*").unionByName(heads.select("key", *[F.col(f"most.{c}").alias(c) for c in line]))
+    looks = sided(keyed, "y", "key").join(sided(both_heads.distinct(), "x", "key"), "key")
     # short sets: one holds the other
     whole = sided(classes.filter("own is not null"), "x", F.col("own").alias("key"))
     part = sided(classes.filter("parts is not null"), "y", F.explode("parts").alias("key"))
@@ -281,20 +286,35 @@ def similar_lines(
     marked = long.join(done.withColumn("done", F.lit(True)), "node", "left")
     rows = marked.select(
         "node", "size", "bitmap", F.col("done").isNotNull().alias("done"), F.explode(F.arrays_zip("tokens", "places")).alias("at")
-    ).select("node", "size", "bitmap", "done", F.col("at.tokens").alias("token"), F.col("at.places").alias("place"))
-    short_prefix = F.col("size") - F.ceil(F.round(F.lit(2 * similar / (1 + similar)) * F.col("size"), 9)) + 1
-    probe = rows.select("token", F.col("node").alias("node_y"), F.col("size").alias("size_y"), F.col("bitmap").alias("bitmap_y"), F.col("place").alias("place_y"), F.col("done").alias("done_y"))
-    index = rows.filter(F.col("place") < short_prefix).select("token", F.col("node").alias("node_x"), F.col("size").alias("size_x"), F.col("bitmap").alias("bitmap_x"), F.col("place").alias("place_x"), F.col("done").alias("done_x"))
-    left = F.least(F.col("size_x") - F.col("place_x"), F.col("size_y") - F.col("place_y"))
+    ).select(
+        F.col("at.tokens").alias("token"), "node", "bitmap",
+        # size, place and mark in one number: the rows of this shuffle are many
+        (F.shiftleft(F.col("size").cast("long"), 32) + F.col("at.places") * 2 + F.col("done").cast("int")).alias("packed"),
+    )
+    def size(side: str):
+        return F.shiftright(F.col(f"packed{side}"), 32)
+
+    def place(side: str):
+        return F.shiftright(F.col(f"packed{side}").bitwiseAND(0xFFFFFFFF), 1)
+
+    def marked_done(side: str):
+        return F.col(f"packed{side}").bitwiseAND(1) == 1
+
+    short_prefix = size("") - F.ceil(F.round(F.lit(2 * similar / (1 + similar)) * size(""), 9)) + 1
+    probe, index = (
+        side.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "bitmap", "packed")])
+        for side, x in ((rows, "y"), (rows.filter(place("") < short_prefix), "x"))
+    )
+    left = F.least(size("_x") - place("_x"), size("_y") - place("_y"))
     differ = F.bit_count(F.col("bitmap_x").bitwiseXOR(F.col("bitmap_y")))
-    need = _need("size_x", "size_y", similar)
+    need = F.ceil(F.round(F.lit(similar / (1 + similar)) * (size("_x") + size("_y")), 9))
     # x is the shorter set (the earlier one of equal sizes); either may be the later line
     on = (
         (probe["token"] == index["token"])
-        & ((F.col("size_x") < F.col("size_y")) | (F.col("size_x") == F.col("size_y")) & (F.col("node_x") < F.col("node_y")))
-        & (F.col("size_x") >= F.round(F.lit(similar) * F.col("size_y"), 9))
-        & (left >= need) & (differ <= F.col("size_x") + F.col("size_y") - 2 * need)
-        & ~F.when(F.col("node_x") < F.col("node_y"), F.col("done_y")).otherwise(F.col("done_x"))
+        & ((size("_x") < size("_y")) | (size("_x") == size("_y")) & (F.col("node_x") < F.col("node_y")))
+        & (size("_x") >= F.round(F.lit(similar) * size("_y"), 9))
+        & (left >= need) & (differ <= size("_x") + size("_y") - 2 * need)
+        & ~F.when(F.col("node_x") < F.col("node_y"), marked_done("_y")).otherwise(marked_done("_x"))
     )
     late = verified(index.join(probe, on).select("node_x", "node_y"))
     matched = early.unionByName(late).groupBy(F.col("y").alias("node")).agg(F.min("x").alias("earlier"), F.count(F.lit(1)).alias("n_links"))

@@ -10,7 +10,7 @@ import xxhash
 from cohortloom.llm.common import words
 
 # Distinct words a worker remembers before it starts anew.
-CACHE = 1 << 20
+CACHE = 1 << 18
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
