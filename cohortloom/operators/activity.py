@@ -178,12 +178,17 @@ _DAY, _PAGE, _ACTION, _PAIR, _VIDEO, _AUTHOR = "d", "p", "a", "x", "v", "u"
 _LOW = 0xFFFFFFFF
 
 
-def _mask(column: str, values: Sequence[int]) -> str:
-    """One bit for each listed value, none for the others."""
-    if len(values) > 62:
-        raise ValueError(f"at most 62 values of {column} can be pivoted at once")
-    arms = " ".join(f"WHEN {int(v)} THEN {1 << i}L" for i, v in enumerate(values))
-    return f"CASE {column} {arms} ELSE 0L END"
+# Values held by one mask.
+_BITS = 62
+
+
+def _masks(column: str, name: str, values: Sequence[int]) -> dict[str, str]:
+    """One bit for each listed value, none for the others; as many masks as the list needs."""
+    out = {}
+    for word in range(len(values) // _BITS + 1):
+        arms = " ".join(f"WHEN {int(v)} THEN {1 << i}L" for i, v in enumerate(values[word * _BITS : (word + 1) * _BITS]))
+        out[f"{name}_mask{word}"] = f"CASE {column} {arms} ELSE 0L END" if arms else "0L"
+    return out
 
 
 def _number(condition: str) -> str:
@@ -204,10 +209,10 @@ def activity_things(
     nor a hot video makes a large group.
     """
     keys = _keys(window_tag)
+    masks = _masks("page", "page", pages) | _masks("action_type", "action", actions)
     marked = activity.selectExpr(
         *[f"`{k}`" for k in keys],
-        f"{_mask('page', pages)} AS page_mask",
-        f"{_mask('action_type', actions)} AS action_mask",
+        *[f"{bits} AS {name}" for name, bits in masks.items()],
         f"day AS {_DAY}",
         f"page AS {_PAGE}",
         f"action_type AS {_ACTION}",
@@ -217,13 +222,12 @@ def activity_things(
     )
     kinds = [_DAY, _PAGE, _ACTION, _PAIR, _VIDEO, _AUTHOR]
     return (
-        marked.unpivot([*keys, "page_mask", "action_mask"], kinds, "kind", "thing")
+        marked.unpivot([*keys, *masks], kinds, "kind", "thing")
         .filter(F.col("thing").isNotNull())
         .groupBy(*keys, "kind", "thing")
         .agg(
             F.count(F.lit(1)).alias("frequency"),
-            F.bit_or("page_mask").alias("page_mask"),
-            F.bit_or("action_mask").alias("action_mask"),
+            *[F.bit_or(name).alias(name) for name in masks],
         )
     )
 
@@ -232,7 +236,7 @@ def _pivots(name: str, values: Sequence[int], kind: str, half: str, crossed: str
     """Columns of one pivoted attribute; ``half`` is where a pair keeps its value."""
     columns = []
     for position, v in enumerate(values):
-        bit = f"{name}_mask & {1 << position}L <> 0"
+        bit = f"{name}_mask{position // _BITS} & {1 << position % _BITS}L <> 0"
         columns += [
             f"sum(CASE WHEN kind = '{kind}' AND thing = {v} THEN frequency END) AS {name}{v}_frequency",
             f"{_number(f'kind = {_DAY!r} AND {bit}')} AS {name}{v}_day",

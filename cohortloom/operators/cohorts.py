@@ -19,29 +19,34 @@ def label_days(launch: DataFrame, video: DataFrame, activity: DataFrame) -> Data
     return reduce(DataFrame.unionByName, logs).distinct()
 
 
+# Days held by one number.
+_BITS = 62
+
+
 def day_masks(labels: DataFrame, horizon: int = HORIZON) -> DataFrame:
-    """The active days of a user as the bits of one number.
+    """The active days of a user as bits, ``_BITS`` days to a number ``days0``, ``days1``, ...
 
-    Days are small integers, so a user's label rows fit in one BIGINT. It is combined
+    Days are small integers, so a user's label rows fit in a few BIGINTs. They are combined
     map-side, and everything that follows has one row per user: no distinct counts.
     """
-    if horizon > 62:
-        raise ValueError("days beyond 62 do not fit in a mask")
     day = F.col("day")
-    bit = F.expr("shiftleft(1L, CAST(day AS INT))")
+    bit = f"shiftleft(1L, CAST(day % {_BITS} AS INT))"
     return (
         labels.filter(day.between(1, horizon) & F.col("user_id").isNotNull())
         .groupBy("user_id")
-        .agg(F.bit_or(bit).alias("days"))
+        .agg(*[
+            F.bit_or(F.expr(f"CASE WHEN day DIV {_BITS} = {word} THEN {bit} END")).alias(f"days{word}")
+            for word in range(horizon // _BITS + 1)
+        ])
     )
 
 
-def _bits(lo: int, hi: int) -> int:
-    return sum(1 << d for d in range(lo + 1, hi + 1))
-
-
 def _active_in(lo: int, hi: int) -> str:
-    return f"coalesce(days, 0L) & {_bits(lo, hi)}L <> 0"
+    words: dict[int, int] = {}
+    for day in range(lo + 1, hi + 1):
+        words[day // _BITS] = words.get(day // _BITS, 0) | 1 << day % _BITS
+    tests = [f"coalesce(days{word}, 0L) & {bits}L <> 0" for word, bits in words.items()]
+    return f"({' OR '.join(tests)})" if tests else "false"
 
 
 def register_cohorts(register: DataFrame, bins: Sequence[Bin] | None = None) -> DataFrame:

@@ -201,3 +201,21 @@ def test_edge_rows_keep_one_row(spark, rows):
     activity = spark.createDataFrame([(1, 2, 0, 9, 1, 1), (1, 1, 3, 4, 1, 1), (1, 1, 2, 4, 1, 1)], ACTIVITY)
     assert rows(act.edge_rows(activity), "day", "page") == [(1, 2)]
     assert rows(act.edge_rows(activity, last=True), "day", "page") == [(2, 0)]
+
+
+def test_days_and_values_past_one_mask(spark, rows):
+    register = spark.createDataFrame([(1, 1), (2, 2)], "user_id long, register_day long")
+    labels = spark.createDataFrame([(1, 61), (1, 62), (2, 63), (2, 130), (1, 200)], "user_id long, day long")
+    got = co.label_people(register, labels, 1, 2, period=32, horizon=130)
+    days = {1: {61, 62}, 2: {63, 130}}
+    want = [
+        (i, u)
+        for i, (lo, hi) in enumerate(period_bins(2, 32, 130)) for u, active in days.items()
+        if any(lo < d <= hi for d in active)
+    ]
+    assert want and rows(got, "period_no", "user_id") == sorted(want)
+
+    log = spark.createDataFrame([(1, d, p, 7 + p, 9, 0) for d, p in [(1, 0), (2, 61), (2, 62), (3, 129), (4, 129)]], ACTIVITY)
+    wide = act.activity_per_user(log, pages=list(range(130))).first()
+    assert [wide[f"page{p}_video"] for p in (0, 1, 61, 62, 129)] == [1, None, 1, 1, 1]
+    assert [wide[f"page{p}_day"] for p in (0, 1, 61, 62, 129)] == [1, None, 1, 1, 2]
