@@ -149,26 +149,23 @@ def cross_validate(matrix: DataFrame, estimator, grid: Mapping, folds: int = 5,
     )
 
 
-def best_point(cv: DataFrame) -> DataFrame:
-    """The point with the highest mean, and that mean."""
-    best = F.max(F.struct("auc_mean", "point"))
-    return cv.agg(best.alias("b")).select("b.point", "b.auc_mean")
-
-
 def scores_per_round(model: GBTClassificationModel, rows: DataFrame, keep: Sequence[str], every: int = 1) -> DataFrame:
     """(keep, round, score): what the model would say after each boosting round.
 
-    A model's first r trees are the model of round r, so the scores of all rounds are
-    running sums in one projection.
+    A model's first r trees are the model of round r. The trees' values form one array,
+    and its running sums are one fold over it: an expression whose size is that of the
+    model, not its square.
     """
     for i, tree in enumerate(model.trees):
         rows = tree.setPredictionCol(f"_tree{i}").transform(rows)
-    margins, total = [], F.lit(0.0)
-    for i, weight in enumerate(model.treeWeights):
-        total = total + F.col(f"_tree{i}") * F.lit(weight)
-        if (i + 1) % every == 0 or i + 1 == len(model.trees):
-            margins.append(F.struct(F.lit(i + 1).alias("round"), total.alias("score")))
-    return rows.select(*keep, F.inline(F.array(*margins)))
+    values = F.array(*[F.col(f"_tree{i}") * F.lit(w) for i, w in enumerate(model.treeWeights)])
+    last = len(model.trees)
+    sums = F.aggregate("_values", F.array(F.lit(0.0)), lambda done, v: F.array_append(done, F.element_at(done, -1) + v))
+    rounds = F.array(*[F.lit(r) for r in range(1, last + 1) if r % every == 0 or r == last])
+    totals = F.transform(rounds, lambda r: F.struct(r.alias("round"), F.element_at("_sums", r + 1).alias("score")))
+    return (
+        rows.select(*keep, values.alias("_values")).withColumn("_sums", sums).select(*keep, F.inline(totals))
+    )
 
 
 def rounds_band(matrix: DataFrame, trees: GBTClassifier, keys: Sequence[str], folds: int = 5,
@@ -215,12 +212,6 @@ def stopping_round(per_round: DataFrame, patience: int = 100, by: str = "AUC_1")
     return read.agg(F.max(best).alias("b")).select((-F.col("b._early")).alias("round"), F.col(f"b.{by}").alias(by))
 
 
-def best_round(band: DataFrame) -> DataFrame:
-    """The round with the highest mean; of equal ones the first."""
-    best = F.max(F.struct("auc_mean", (-F.col("round")).alias("_early")))
-    return band.agg(best.alias("b")).select((-F.col("b._early")).alias("round"), "b.auc_mean")
-
-
 def fit_and_score(samples: DataFrame, blocks: Pipeline, estimator) -> tuple[PipelineModel, DataFrame]:
     """Encoders see all rows, the estimator only training rows; returns scores for both parts."""
     encoder = blocks.fit(samples)

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 
 def _longs(*names: str) -> list[StructField]:
     return [StructField(name, LongType()) for name in names]
 
 
-def _strings(*names: str) -> list[StructField]:
-    return [StructField(name, StringType()) for name in names]
-
-
 # Table layouts, value lists and the closing day of the data model.
 HORIZON = 30
 PAGES = [0, 1, 2, 3, 4]
@@ -24,18 +20,6 @@ APP_LAUNCH = StructType(_longs("user_id", "day"))
 VIDEO_CREATE = StructType(_longs("user_id", "day"))
 USER_ACTIVITY = StructType(_longs("user_id", "day", "page", "video_id", "author_id", "action_type"))
 
-AD_CATEGORIES = [
-    "lbs", "age", "carrier", "consumptionability", "education", "gender", "house",
-    "advertiserid", "campaignid", "creativeid", "adcategoryid", "creativesize",
-    "productid", "producttype",
-]
-AD_TOKENS = [
-    "appidaction", "appidinstall", "interest1", "interest2", "interest3", "interest4",
-    "interest5", "kw1", "kw2", "kw3", "topic1", "topic2", "topic3", "os", "ct",
-    "marriagestatus",
-]
-AD_SAMPLES = StructType(_longs("aid", "uid", "label") + _strings(*AD_CATEGORIES, *AD_TOKENS))
-
 # Tokens kept per column when rare ones are collapsed.
 TOKENS_KEPT = {
     "appidaction": 266,
@@ -48,27 +32,6 @@ TOKENS_KEPT = {
     "topic3": 309,
 }
 
-TOKEN_IMPORTANCE = StructType(
-    [StructField("feature_value", LongType()), StructField("import_value", DoubleType())]
-)
-
-
-def rate_schema(*keys: str, value: str = "corr_ctr") -> StructType:
-    """A click-rate table: keys, clicks on the label, counts, rate."""
-    return StructType(
-        [StructField(k, LongType() if k in ("uid", "aid") else StringType()) for k in keys]
-        + _longs("label", "feacnt", "cnt")
-        + [StructField(value, DoubleType())]
-    )
-
-
 def pair_schema(value: str, value_type=DoubleType) -> StructType:
     """One value per (uid, aid)."""
     return StructType(_longs("uid", "aid") + [StructField(value, value_type())])
-
-
-def count_schema(feature: str) -> StructType:
-    """uid, the raw value and its count bucket."""
-    return StructType(
-        _longs("uid") + _strings(feature) + [StructField(f"{feature}cnt", LongType())]
-    )
