@@ -16,8 +16,8 @@ pairs that lie in different components and could still be similar by their total
 are compared one by one, so no link that joins two components is lost.
 
 A document with fewer than five words is one shingle. Null texts and texts without a word
-have no shingles and are never linked; each is a class of its own. Repeated rows share a
-class. The class id is the smallest document id of the class, null if all are null.
+have no shingles and are never linked; each id of such texts is a class of its own (no id
+is one id). Repeated rows share a class. The class id is the smallest document id of the class, null if all are null.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortloom.llm.common import Written, arrow_types, map_rows
 from cohortloom.llm.groups import components
@@ -198,21 +198,21 @@ def near_duplicates(
     """
     classes, sizes = text_classes(documents, id_column, text_column, least, bands, rows, buckets)
     rows_out = documents.select(
-        F.col(id_column).cast("long").alias("doc_id"), digest(text_column).alias("digest")
+        F.col(id_column).cast("long").alias("doc_id"), digest(text_column, id_column).alias("digest")
     )
     return rows_out.join(classes.join(sizes, "root"), "digest").select("doc_id", "class_id", "class_size")
 
 
-def digest(text_column: str):
-    """One value per distinct text; a text without a word gets a value no other row has."""
+def digest(text_column: str, id_column: str) -> Column:
+    """One value per distinct text; texts without a word are told apart by their ids."""
     text = F.col(text_column)
-    alone = F.concat(F.lit("-"), F.monotonically_increasing_id())
+    alone = F.concat(F.lit("-"), F.coalesce(F.col(id_column).cast("string"), F.lit("")))
     return F.when(text.rlike(r"[^\x20\x09-\x0D]"), F.md5(text)).otherwise(alone)
 
 
 def _placed(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return documents.select(
-        F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"), digest(text_column).alias("digest")
+        F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"), digest(text_column, id_column).alias("digest")
     )
 
 
@@ -296,10 +296,10 @@ def one_of_each(documents: DataFrame, **settings: float) -> DataFrame:
     names = documents.columns
     keep = Written(documents.sparkSession)
     classes, _ = text_classes(documents, "doc_id", "text", **options)
-    slim = documents.select(F.col("doc_id").cast("long").alias("id"), digest("text").alias("digest"))
+    slim = documents.select(F.col("doc_id").cast("long").alias("id"), digest("text", "doc_id").alias("digest"))
     best = slim.join(classes, "digest").groupBy("root").agg(F.min(F.struct("id", "digest")).alias("best"))
     # equal rows of the kept document: all but one go
     chosen = keep(best.select(F.col("best.id").alias("_id"), F.col("best.digest").alias("_digest")))
-    rows = documents.withColumn("_own", digest("text"))
+    rows = documents.withColumn("_own", digest("text", "doc_id"))
     same = rows["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest"))
     return rows.join(chosen, same).dropDuplicates(["_id", "_digest"]).select(*[F.col(f"`{n}`") for n in names])
