@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortloom.llm.bloom import Bloom, hit
 from cohortloom.llm.common import Written, arrow_types
-from cohortloom.llm.tokens import as_long, combined, hashed, scramble
+from cohortloom.llm.tokens import combined, hashed, scramble
 
 SIMILAR = 0.8
 BUCKETS = 1 << 20

@@ -17,12 +17,12 @@ are compared one by one, so no link that joins two components is lost.
 
 A document with fewer than five words is one shingle. Null texts and texts without a word
 have no shingles and are never linked; each id of such texts is a class of its own (no id
-is one id). Repeated rows share a class. The class id is the smallest document id of the class, null if all are null.
+is one id). Repeated rows share a class. The class id is the smallest document id of the
+class, null if all are null.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortloom.llm.common import Written, arrow_types, map_rows
 from cohortloom.llm.groups import components
-from cohortloom.llm.tokens import as_long, combined, hashed_text, windows
+from cohortloom.llm.tokens import combined, hashed_text, windows
 
 SHINGLE = 5
 SIMILAR = 0.8
