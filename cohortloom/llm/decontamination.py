@@ -1,16 +1,18 @@
 """Benchmark decontamination by template windows and slot consistency.
 
 Words lose the punctuation around them and are put in lower case; numbers (with a unit
-written on), units after a number and names (a capitalised word that does not start a
-sentence) become typed placeholders, whose own values are kept as slots. Every window of
+written on), units after a number and names (capitalised words) become typed placeholders,
+whose own values are kept as slots. A capitalised word that starts a sentence or a line may
+be a name or not, so a text is read in three views: such words as plain words, such words as
+names, and all words as plain words (a copy, whatever its case). Every window of
 ``window`` words of an item is hashed, and the windows of the documents are joined with
-them on that hash. Matches of one document and item that lie on one diagonal must fill
+them on that hash. Matches of one document, item and pair of views that lie on one diagonal must fill
 the slots consistently: one value of the item always meets one value of the document, so
 a question with other numbers or names is caught and a chance mix is not.
 
 A document is a leak of an item if consistent windows cover at least ``least`` of the
-item's words. Windows with fewer than ``literals`` plain words are no evidence and are not
-made. Before the join, documents' windows pass a Bloom filter of the items' hashes, whose
+item's words. Windows with placeholders and fewer than ``literals`` plain words are no
+evidence and are not made. Before the join, documents' windows pass a Bloom filter of the items' hashes, whose
 size is a parameter and does not grow; it only saves rows, the join decides. Items with
 fewer words than a window are matched as one window of all their words, items with fewer
 than three words never. Null and empty texts match nothing; equal items match separately.
@@ -70,40 +72,69 @@ class Kinds(dict):
 
 KINDS = Kinds()
 RUNS = re.compile(r"[^\x20\x09-\x0D]+")
-
-
-def canonical(text: str | None) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Words of a text, their template hashes, and their kinds after context is applied."""
-    found = RUNS.findall(text) if text else []
+LINE = re.compile(r"[\n\x0B\x0C\r]")
+# Views of a text, and which view of an item meets which of a document.
+COPY, PLAIN_STARTS, NAMED_STARTS = 1, 2, 4
+MEETINGS = ((COPY, COPY), *((i, d) for i in (PLAIN_STARTS, NAMED_STARTS) for d in (PLAIN_STARTS, NAMED_STARTS)))
+
+
+def canonical(text: str | None) -> tuple[list[str], np.ndarray, dict[int, np.ndarray]]:
+    """Words of a text, their hashes as plain words, and their kinds in the views with placeholders."""
+    found: list[str] = []
+    first = []
+    for line in LINE.split(text or ""):
+        first.append(len(found))
+        found += RUNS.findall(line)
     n = len(found)
     rows = [KINDS[w] for w in found]
     hashes = np.fromiter((r[0] for r in rows), np.uint64, n)
     kinds = np.fromiter((r[1] for r in rows), np.int8, n)
     ends = np.fromiter((r[2] for r in rows), bool, n)
     starts = np.append(True, ends[:-1]) if n else ends
+    starts[[i for i in first if i < n]] = True
     after_number = np.append(False, kinds[:-1] == NUM) if n else ends
-    kinds = np.where((kinds == TITLE) & starts | (kinds == UNIT) & ~after_number, LITERAL, kinds)
-    for kind in PLACEHOLDER:
-        hashes[kinds == kind] = kind
-    return found, hashes, kinds
-
-
-def template_windows(hashes: np.ndarray, kinds: np.ndarray, size: int, literals: float) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the windows with enough plain words."""
-    n = len(hashes)
-    if n < size:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    plain = np.append(0, np.cumsum(kinds == LITERAL))
-    at = np.flatnonzero(plain[size:] - plain[:-size] >= literals * size)
-    values = windows(hashes, size)[at]
-    return at, scramble(values + np.uint64(size))
+    named = np.where((kinds == UNIT) & ~after_number, LITERAL, kinds)
+    return found, hashes, {PLAIN_STARTS: np.where((named == TITLE) & starts, LITERAL, named), NAMED_STARTS: named}
+
+
+def template_windows(
+    hashes: np.ndarray, views: dict[int, np.ndarray], size: int, literals: float
+) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Places, hashes, views and kinds of the different windows with enough plain words."""
+    if len(hashes) < size:
+        return []
+
+    def inside(marks: np.ndarray) -> np.ndarray:
+        total = np.append(0, np.cumsum(marks))
+        return total[size:] - total[:-size]
+
+    def values(kinds: np.ndarray) -> np.ndarray:
+        held = hashes.copy()
+        for kind in PLACEHOLDER:
+            held[kinds == kind] = kind
+        return scramble(windows(held, size) + np.uint64(size))
+
+    held = {view: inside(kinds != LITERAL) for view, kinds in views.items()}
+    same = inside(views[PLAIN_STARTS] != views[NAMED_STARTS]) == 0
+    places = np.arange(len(hashes) - size + 1)
+    copies = COPY + sum(view * (n == 0) for view, n in held.items())
+    out = [(places, scramble(windows(hashes, size) + np.uint64(size)), copies, np.zeros_like(views[PLAIN_STARTS]))]
+    for view, n in held.items():
+        wanted = (n > 0) & (size - n >= literals * size)
+        if view == NAMED_STARTS:
+            wanted &= ~same
+        at = np.flatnonzero(wanted)
+        if len(at):
+            seen = np.where(same[at], PLAIN_STARTS + NAMED_STARTS, view)
+            out.append((at, values(views[view])[at], seen, views[view]))
+    return out
 
 
 def slots(found: list[str], kinds: np.ndarray, at: int, size: int) -> list[str]:
     return [EDGE.sub("", found[i]).lower() for i in range(at, at + size) if kinds[i] != LITERAL]
 
 
-WINDOWS = "id long, n_words long, place long, hash long, slots array<string>"
+WINDOWS = "id long, n_words long, place long, hash long, views int, slots array<string>"
 
 
 def window_rows(
@@ -117,18 +148,19 @@ def window_rows(
         for batch in batches:
             out: dict[str, list] = {name: [] for name in kinds}
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found, hashes, kind = canonical(text)
+                found, hashes, views = canonical(text)
                 own = [min(sizes[0], len(found))] if whole_if_short else sizes
                 for size in (s for s in own if s >= SHORTEST):
-                    at, values = template_windows(hashes, kind, size, literals)
-                    if bits is not None:
-                        seen = hit(bits, values)
-                        at, values = at[seen], values[seen]
-                    out["id"] += [key] * len(at)
-                    out["n_words"] += [len(found)] * len(at)
-                    out["place"] += at.tolist()
-                    out["hash"] += values.view(np.int64).tolist()
-                    out["slots"] += [slots(found, kind, i, size) for i in at.tolist()]
+                    for at, values, seen_in, kind in template_windows(hashes, views, size, literals):
+                        if bits is not None:
+                            seen = hit(bits, values)
+                            at, values, seen_in = at[seen], values[seen], seen_in[seen]
+                        out["id"] += [key] * len(at)
+                        out["n_words"] += [len(found)] * len(at)
+                        out["place"] += at.tolist()
+                        out["hash"] += values.view(np.int64).tolist()
+                        out["views"] += seen_in.tolist()
+                        out["slots"] += [slots(found, kind, i, size) for i in at.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(v, kinds[k]) for k, v in out.items()], names=list(out))
 
     return rows.mapInArrow(run, WINDOWS)
@@ -159,11 +191,19 @@ def leaks(
     sizes = [window, *sorted(r["n_words"] for r in short.collect())]
     found = window_rows(texts, sizes, literals, False, Bloom(wanted, "hash", bloom_bits))
 
-    pairs = found.select(F.col("id").alias("doc_id"), F.col("place").alias("doc_place"), "hash", F.col("slots").alias("doc_slots")).join(
-        wanted.select(F.col("id").alias("item_id"), "n_words", "place", "hash", F.col("slots").alias("item_slots")), "hash"
+    of_documents = found.select(
+        F.col("id").alias("doc_id"), F.col("place").alias("doc_place"), "hash", F.col("views").alias("doc_views"), F.col("slots").alias("doc_slots")
+    )
+    of_items = wanted.select(
+        F.col("id").alias("item_id"), "n_words", "place", "hash", F.col("views").alias("item_views"), F.col("slots").alias("item_slots")
+    )
+    both = F.array(*[F.struct(F.lit(i).alias("item"), F.lit(d).alias("doc")) for i, d in MEETINGS])
+    met = F.filter(
+        both, lambda m: (F.col("item_views").bitwiseAND(m["item"]) > 0) & (F.col("doc_views").bitwiseAND(m["doc"]) > 0)
     )
+    pairs = of_documents.join(of_items, "hash").withColumn("met", F.explode(met))
     filled = F.arrays_zip("item_slots", "doc_slots")
-    lines = pairs.groupBy("doc_id", "item_id", "n_words", (F.col("doc_place") - F.col("place")).alias("shift")).agg(
+    lines = pairs.groupBy("doc_id", "item_id", "n_words", "met", (F.col("doc_place") - F.col("place")).alias("shift")).agg(
         F.collect_set("place").alias("places"), F.array_distinct(F.flatten(F.collect_set(filled))).alias("filled")
     )
     values = F.array_distinct(F.transform("filled", lambda s: s["item_slots"]))

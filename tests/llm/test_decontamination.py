@@ -60,3 +60,22 @@ def test_stage_and_empty_tables(spark, documents):
 def test_a_small_filter_changes_nothing(found):
     docs = [(i, f"{PLAIN} {OTHER if i % 3 == 0 else ''}") for i in range(9)]
     assert found(docs, [(1, OTHER)], bloom_bits=64).keys() == found(docs, [(1, OTHER)]).keys() == {(i, 1) for i in (0, 3, 6)}
+
+
+def test_short_copies_with_a_capital_after_a_line_break_or_within_a_sentence(found):
+    item = "What is the capital of France?"
+    docs = [(1, f"{PLAIN} Question 5\n{item}\n{PLAIN}"), (2, f"{PLAIN} they ask What is the capital of France? {PLAIN}"), (3, PLAIN)]
+    assert found(docs, [(1, item)]).keys() == {(1, 1), (2, 1)}
+
+
+def test_other_names_at_sentence_starts(found):
+    item = "Anna has 3 red apples today. Anna buys 4 more."
+    got = found([(1, f"{PLAIN}. {item.replace('Anna', 'Tom')} {PLAIN}"), (2, f"{PLAIN}. Tom has 3 red apples today. Paul buys 4 more.")], [(1, item)])
+    assert got.keys() == {(1, 1)}
+    assert got[1, 1]["n_changed_slots"] == 1
+
+
+def test_lower_and_upper_copies_with_names(found):
+    item = "On Monday Anna Miller of Berlin met Peter Baker and Tom Fisher in Paris"
+    docs = [(1, f"{PLAIN} {item.lower()}"), (2, f"{PLAIN} {item.upper()} {PLAIN}"), (3, PLAIN)]
+    assert found(docs, [(1, item)]).keys() == {(1, 1), (2, 1)}
