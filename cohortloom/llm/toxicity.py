@@ -1,7 +1,8 @@
 """Toxicity by a bidirectional gated recurrent network with attention over windows of words.
 
 A word enters the network as the sum of an embedding of the word (by hash) and the mean of
-embeddings of its character runs of 3 to 5 (by hash, word ends marked). Two gated recurrent
+embeddings of its character runs of 3 to 5 (by hash, word ends marked). A word of more than
+``LONG`` bytes is read as overlapping pieces, each a word of its own. Two gated recurrent
 layers read a window of words forwards and backwards, attention pools their states, and a
 linear unit gives the window's logit. Windows of ``width`` words start every ``width / 2``
 words, so each word is read in two of them; a document's score is the largest window's.
@@ -37,6 +38,8 @@ HIDDEN = 10
 WORD_BUCKETS = 1 << 14
 RUN_BUCKETS = 1 << 16
 RUNS = (3, 4, 5)
+# Bytes of a piece of a long word; pieces overlap so that every character run lies in one.
+LONG = 64
 PER_LABEL = 2000
 LONGEST = 6000
 ROUNDS = 3
@@ -51,9 +54,17 @@ FOLDS, HELD_OUT = 5, 0
 Weights = dict[str, np.ndarray]
 
 
+def pieces(found: list[bytes]) -> list[bytes]:
+    """The words, long ones cut into overlapping pieces."""
+    if all(len(w) <= LONG for w in found):
+        return found
+    overlap = max(RUNS) - 1
+    return [w[i : i + LONG] for w in found for i in range(0, max(1, len(w) - overlap), LONG - overlap)]
+
+
 def runs_of(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the words' character runs of 3 to 5, the ends marked, and where each word's start."""
-    marked = [b"^" + w[:64] + b"$" for w in found]
+    marked = [b"^" + w + b"$" for w in found]
     length = np.array([len(m) for m in marked], np.int64)
     text = np.frombuffer(b"".join(marked) + bytes(8), np.uint8).astype(np.uint64)
     word = np.repeat(np.arange(len(found)), length)
@@ -230,7 +241,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 5, rounds: int = ROU
     """Weights from documents and their labels."""
     random = np.random.default_rng(seed)
     vocabulary = Vocabulary()
-    docs = [vocabulary.ids(words(t.lower())) for t in texts]
+    docs = [vocabulary.ids(pieces(words(t.lower()))) for t in texts]
     w = new_weights(random)
     adam = Adam(w, RATE)
     word, runs, start = vocabulary.flat()
@@ -332,7 +343,7 @@ class Scorer:
         out[:] = -np.inf
         held = 0
         for i, text in enumerate(texts):
-            found = words(text.lower() if text else None)
+            found = pieces(words(text.lower() if text else None))
             if len(self.number) + len(found) > CACHE:
                 flush()
                 held = 0

@@ -80,3 +80,15 @@ def test_missing_labels(spark, documents):
     got = tox.toxicity(documents([(1, "a"), (2, None)]), labels).collect()
     assert len(got) == 2 and len({r["score"] for r in got}) == 1
     assert tox.toxicity(documents([]), labels.limit(0)).count() == 0
+
+
+def test_long_words_are_read_to_their_end():
+    weights = tox.new_weights(np.random.default_rng(1))
+    weights["word"][:] = 0
+    long = "_".join(f"part{i}" for i in range(40))
+    scores = tox.Scorer(weights).scores([f"{long}_awful", f"{long}_lemon", "\u8a00" * 300 + "\u60aa", "\u8a00" * 300])
+    assert scores[0] != scores[1] and scores[2] != scores[3]
+    word = long.encode()
+    cut = tox.pieces([b"a", word, b"b"])
+    assert cut[0] == b"a" and cut[-1] == b"b" and max(map(len, cut)) <= 64
+    assert {word[i : i + 5] for i in range(len(word) - 4)} <= {p[i : i + 5] for p in cut for i in range(len(p) - 4)}
