@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortloom.llm import chat, class_lm, decontamination, lines, mixing, near_duplicates, passages, repetition, token_files, toxicity
+from cohortloom.llm import byte_bpe, chat, class_lm, collocations, decontamination, filter_audit, lines, mixing, near_duplicates, passages, repetition, token_files, toxicity
 from cohortloom.llm.common import SQL_WORDS, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -66,6 +67,26 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    codec = byte_bpe.ByteBpe(byte_bpe.read_ranks(tokenizer_path(RANKS)), public_tokenizers.PATTERN)
+    decoded = codec.decode(codec.encode(table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,6 +104,9 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_class_lm": op9_class_lm,
     "op10_passages": op10_passages,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_collocations": op13_collocations,
     "pipeline": pipeline,
 }
 
@@ -172,4 +196,91 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op2_repetition": _REPETITION, "op5_mixing": _MIXING, "op7_chat": _CHAT}
+_AUDIT = rf"""
+WITH d AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {SQL_WORDS} AS w FROM documents
+),
+l AS (
+    SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels GROUP BY doc_id
+),
+f AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, [
+        len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+        100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text),
+        regexp_matches(text, '[#$%&*|]'),
+        coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY text), false)
+    ] AS fails FROM d LEFT JOIN l ON d.doc_id = l.doc_id
+),
+m AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+x AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+o AS (
+    SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM x a, x b, x c, x d, x e
+    WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+),
+r AS (
+    SELECT m.*, o, list_position(list_transform(o, lambda i: fails[i]), true) AS gone FROM m, o
+),
+s AS (
+    SELECT part, o, i AS step, o[i] AS f, sum(n) FILTER (gone IS NULL OR gone > i) AS kept,
+        sum(n) FILTER (gone = i) AS removed, sum(n) FILTER (fails[o[i]] AND gone < i) AS redundant,
+        sum(n) FILTER (fails[o[i]] AND len(list_filter(fails, lambda v: v)) = 1) AS unique_fails,
+        sum(good) FILTER (gone = i) AS good_lost, sum(toxic) FILTER (gone = i) AS toxic_lost
+    FROM r, x GROUP BY part, o, i
+)
+SELECT part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, step,
+    CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+    CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+    CAST(coalesce(sum(removed) OVER (PARTITION BY part, f), 0) AS BIGINT) AS shapley
+FROM s
+"""
+
+_COLLOCATIONS = r"""
+WITH d AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+p AS (SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+w AS (SELECT lang, piece, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM p),
+four AS (
+    SELECT lang, w1, lead(w1) OVER z AS w2, lead(w1, 2) OVER z AS w3, lead(w1, 3) OVER z AS w4
+    FROM w WINDOW z AS (PARTITION BY piece ORDER BY i)
+),
+phrases AS (
+    SELECT lang, 1 AS size, w1 AS phrase FROM four
+    UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM four WHERE w2 IS NOT NULL
+    UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM four WHERE w3 IS NOT NULL
+    UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM four WHERE w4 IS NOT NULL
+),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM phrases GROUP BY ALL),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size >= 2 AND f >= 30),
+cuts AS (
+    SELECT lang, size, phrase, f AS a, k, array_to_string(w[:k], ' ') AS left_part, array_to_string(w[k + 1:], ' ') AS right_part
+    FROM c, (VALUES (1), (2), (3)) AS v(k) WHERE k < size
+),
+s AS (
+    SELECT cuts.*, l.f AS l, r.f AS r, CAST((CAST(2000000 AS HUGEINT) * a) // (l.f + r.f) AS BIGINT) AS score
+    FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = left_part JOIN f r ON r.lang = cuts.lang AND r.phrase = right_part
+),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+    SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS around
+    FROM c, (VALUES (2, 1), (2, 2), (2, 3), (3, 1), (3, 2)) AS v(m, i) WHERE m < size AND i + m - 1 <= size GROUP BY ALL
+),
+kept AS (
+    SELECT best.lang, best.phrase, a, l, r, score
+    FROM best LEFT JOIN inside ON inside.lang = best.lang AND inside.phrase = best.phrase
+    WHERE around IS NULL OR CAST(100 AS HUGEINT) * around < CAST(80 AS HUGEINT) * a
+),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_repetition": _REPETITION, "op5_mixing": _MIXING, "op7_chat": _CHAT, "op12_filter_audit": _AUDIT,
+    "op13_collocations": _COLLOCATIONS,
+}
