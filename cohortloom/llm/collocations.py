@@ -3,10 +3,10 @@
 A suffix is what follows a word inside its piece of text, cut after four words. The tree of
 all suffixes is never whole anywhere (vertical partitioning):
 
-1. Words are counted. A phrase of 30 occurrences has frequent words and frequent pairs only, so
-   a suffix ends before the first word, or pair, that a Bloom filter of the frequent ones
-   does not hold. The filters have a fixed size; what they let through by chance costs time, not
-   correctness.
+1. Words are counted, and texts written as streams of word hashes in which rare words are 0.
+   A phrase of 30 occurrences has only words, pairs and triples of 30 occurrences, so a suffix
+   ends before the first one that a Bloom filter of the frequent ones does not hold. The
+   filters have a fixed size; what they let through by chance costs time, not correctness.
 2. Suffixes are counted where they are read and written as a table of leaves. Prefixes with
    more leaves than the memory budget of a group are made one word longer, level by level;
    there are at most leaves / budget of them per level, and the budget is at least 1/4096
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -53,7 +54,9 @@ GROUP_LEAVES = 1 << 19
 MOST_GROUPS = 1 << 12
 # Tokens that are turned into arrays at once, and leaves counted before they leave a task.
 SLICE_BYTES = 1 << 22
-FLUSH = 1 << 20
+FLUSH = 1 << 19
+# Words of a row of a stream, and rows that are looked at together.
+ROW_TOKENS, SLICE_ROWS = 1 << 12, 128
 # Words a task counts before it passes them on, and hashes it remembers.
 MEMORY = 1 << 17
 
@@ -76,17 +79,16 @@ def tokens(text: str | None) -> list[bytes]:
 
 def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
     """The tokens of many texts of one language, some megabytes at a time."""
-    texts, langs = batch.column(1), batch.column(0)
     found: dict[str, list[bytes]] = {}
     size = 0
-    for lang, text in zip(langs, texts):
-        value = text.as_py()
-        if value:
-            found.setdefault(lang.as_py(), []).extend(tokens(value))
-            size += len(value)
-        if size > SLICE_BYTES:
-            yield from found.items()
-            found, size = {}, 0
+    for start in range(0, batch.num_rows, 64):
+        part = batch.slice(start, 64)
+        for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            found.setdefault(lang, []).extend(tokens(text))
+            size += len(text)
+            if size > SLICE_BYTES:
+                yield from found.items()
+                found, size = {}, 0
     yield from found.items()
 
 
@@ -143,15 +145,40 @@ def lang_seed(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass")))
 
 
-def pair_keys(lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """One hash of a pair, for the filter only."""
+def gram_keys(lang: str, words: list[np.ndarray]) -> np.ndarray:
+    """One hash of neighbours, for the filters only."""
     with np.errstate(over="ignore"):
-        return scramble((first * ODD + second) ^ lang_seed(lang))
+        key = words[0]
+        for word in words[1:]:
+            key = key * ODD + word
+        return scramble(key ^ lang_seed(lang))
 
 
-def _clear_rare(lang: str, words: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Rare words become 0: no phrase goes on across them."""
-    return np.where((words != 0) & hit(bits, scramble(words ^ lang_seed(lang))), words, 0).astype(np.uint64)
+def streams(docs: DataFrame, seed: int, frequent: Bloom) -> DataFrame:
+    """(lang, words): texts one behind the other; 0 for a rare word, which no phrase crosses, and for an end."""
+    schema = "lang string, words array<long>"
+    kinds = arrow_types(docs.sparkSession, schema)
+    shared = frequent.sent
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, np.uint8)
+        hashes = WordHashes(seed)
+        for batch in batches:
+            for lang, found in _by_lang(batch):
+                words = hashes.array(found)
+                rare = (words == 0) | ~hit(bits, scramble(words ^ lang_seed(lang)))
+                words[rare] = 0
+                # a run of zeros says no more than one
+                words = words[~(rare & np.concatenate([[False], rare[:-1]]))]
+                # short rows, cut behind a zero only: readers hold thousands of them at a time
+                zeros = np.flatnonzero(words == 0) + 1
+                at = np.searchsorted(zeros, np.arange(ROW_TOKENS, len(words), ROW_TOKENS))
+                ends = np.unique(np.concatenate([[0], zeros[at[at < len(zeros)]], [len(words)]]))
+                listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words.view(np.int64)))
+                columns = [pa.array([lang] * len(listed), kinds["lang"]), listed.cast(kinds["words"])]
+                yield pa.RecordBatch.from_arrays(columns, names=list(kinds))
+
+    return _texts(docs).mapInArrow(run, schema)
 
 
 def counted_rows(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,72 +195,90 @@ def counted_rows(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return rows[:, starts], np.add.reduceat(n[order], starts)
 
 
-def _sums(
-    docs: DataFrame, seed: int, schema: str, rows_of, sent: tuple[Bloom, ...]
-) -> DataFrame:
-    """Rows that ``rows_of(lang, words)`` finds, counted per language within a task."""
-    kinds = arrow_types(docs.sparkSession, schema)
+def _linked(lang: str, words: np.ndarray, bits: list[np.ndarray]) -> list[np.ndarray]:
+    """For each size from 2 up: where a run of that size starts that may be frequent."""
+    size = len(words)
+    linked = [np.concatenate([words != 0, np.zeros(DEPTH, bool)])]
+    for k, known in enumerate(bits, start=2):
+        # both runs that are one shorter are frequent
+        at = np.flatnonzero(linked[-1][:size] & linked[-1][1 : size + 1])
+        mark = np.zeros(size + DEPTH, bool)
+        mark[at] = hit(known, gram_keys(lang, [words[at + j] for j in range(k)]))
+        linked.append(mark)
+    return linked
+
+
+def _streams_of(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
+    """Rows of one language behind one another, some hundred thousand words at a time."""
+    for start in range(0, batch.num_rows, SLICE_ROWS):
+        part = batch.slice(start, SLICE_ROWS)
+        for lang in part.column(0).unique():
+            mine = part.column(1).filter(pc.equal(part.column(0), lang))
+            words = mine.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            yield lang.as_py(), np.concatenate([words, np.zeros(1, np.uint64)])
+
+
+def _sums(streamed: DataFrame, schema: str, rows_of, sent: list[Bloom]) -> DataFrame:
+    """Rows that ``rows_of(lang, words, filters)`` finds, counted per language within a task."""
+    kinds = arrow_types(streamed.sparkSession, schema)
     shared = [b.sent for b in sent]
+    with_lang = "lang" in kinds
 
     def batch_of(lang: str, parts: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
         rows, n = counted_rows(np.concatenate(parts, axis=1), np.concatenate(counts))
-        columns = [pa.array([lang] * len(n), pa.string()), *[pa.array(c.view(np.int64)) for c in rows], pa.array(n)]
+        columns = [pa.array([lang] * len(n), pa.string())] if with_lang else []
+        columns += [*[pa.array(c.view(np.int64)) for c in rows], pa.array(n)]
         return pa.RecordBatch.from_arrays(columns, names=list(kinds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [np.frombuffer(s.value, np.uint8) for s in shared]
-        hashes = WordHashes(seed)
         parts: dict[str, list[np.ndarray]] = {}
         counts: dict[str, list[np.ndarray]] = {}
         held = 0
         for batch in batches:
-            for lang, found in _by_lang(batch):
-                rows, n = counted_rows(*rows_of(lang, hashes.array(found), bits))
+            for lang, words in _streams_of(batch):
+                rows, n = counted_rows(*rows_of(lang, words, bits))
                 if len(n):
                     parts.setdefault(lang, []).append(rows)
                     counts.setdefault(lang, []).append(n)
                     held += len(n)
                 if held > FLUSH:
-                    for lang in list(parts):
-                        yield batch_of(lang, parts.pop(lang), counts.pop(lang))
+                    for done in list(parts):
+                        yield batch_of(done, parts.pop(done), counts.pop(done))
                     held = 0
         for lang in parts:
             yield batch_of(lang, parts[lang], counts[lang])
 
-    return _texts(docs).mapInArrow(run, schema)
+    return streamed.mapInArrow(run, schema)
 
 
-def pair_counts(docs: DataFrame, seed: int, frequent: Bloom) -> DataFrame:
-    """(lang, pair, n) of neighbours that are both frequent, counted in part."""
+def gram_counts(streamed: DataFrame, shorter: list[Bloom]) -> DataFrame:
+    """(gram, n): runs of one word more than ``shorter`` knows, counted by a hash in part."""
 
     def rows_of(lang: str, words: np.ndarray, bits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        kept = _clear_rare(lang, words, bits[0])
-        both = (kept[:-1] != 0) & (kept[1:] != 0)
-        keys = pair_keys(lang, kept[:-1][both], kept[1:][both])
+        last, size = _linked(lang, words, bits)[-1], len(words)
+        at = np.flatnonzero(last[:size] & last[1 : size + 1])
+        keys = gram_keys(lang, [words[at + j] for j in range(len(bits) + 2)])
         return keys[None, :], np.ones(len(keys), np.int64)
 
-    return _sums(docs, seed, "lang string, pair long, n long", rows_of, (frequent,))
+    return _sums(streamed, "gram long, n long", rows_of, shorter)
 
 
-def leaves(docs: DataFrame, seed: int, frequent: Bloom, pairs: Bloom) -> DataFrame:
-    """(lang, w1..w4, n): suffixes cut after four words or before a rare one; 0 for no word."""
+def leaves(streamed: DataFrame, filters: list[Bloom]) -> DataFrame:
+    """(lang, w1..w4, n): suffixes cut after four words or before a rare run; 0 for no word."""
 
     def rows_of(lang: str, words: np.ndarray, bits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        kept = _clear_rare(lang, words, bits[0])
-        size = len(kept)
-        first, second = kept[:-1], kept[1:]
-        linked = np.zeros(size + DEPTH, bool)
-        at = np.flatnonzero((first != 0) & (second != 0))
-        linked[at] = hit(bits[1], pair_keys(lang, first[at], second[at]))
-        starts = np.flatnonzero(kept)
-        padded = np.concatenate([kept, np.zeros(DEPTH, np.uint64)])
+        linked = _linked(lang, words, bits)
+        starts = np.flatnonzero(words)
+        padded = np.concatenate([words, np.zeros(DEPTH, np.uint64)])
         rows, going = [padded[starts]], np.ones(len(starts), bool)
         for k in range(1, DEPTH):
-            going = going & linked[starts + k - 1]
+            longest = min(k + 1, len(linked))  # words of the runs that are known
+            going = going & linked[longest - 1][starts + k + 1 - longest]
             rows.append(np.where(going, padded[starts + k], 0).astype(np.uint64))
         return np.array(rows), np.ones(len(starts), np.int64)
 
-    return _sums(docs, seed, LEAVES, rows_of, (frequent, pairs))
+    return _sums(streamed, LEAVES, rows_of, filters)
 
 
 def _words_of(depth: int) -> list[str]:
@@ -280,9 +325,9 @@ def grouped(leaf_rows: DataFrame, over: list[DataFrame], budget: int, n_leaves:
             group, filled = group + 1, 0
         group_of[bucket] = group
         filled += size
-    spark = leaf_rows.sparkSession
-    packed = spark.createDataFrame(list(enumerate(group_of)), "bucket int, group int")
-    return placed.join(F.broadcast(packed), "bucket").drop("bucket"), group + 1
+    # at most 4 * MOST_GROUPS numbers
+    packed = F.element_at(F.lit(np.array(group_of, np.int32)), F.col("bucket") + 1)
+    return placed.withColumn("group", packed).drop("bucket"), group + 1
 
 
 class OpenPath:
@@ -358,20 +403,19 @@ def phrase_counts(docs: DataFrame, keep: Written, least: int = LEAST, group_leav
     """Nodes (lang, w1..w4, f) with ``least`` occurrences, and words (lang, hash, word, n) likewise."""
     seed = 0
     while True:
-        words = keep(
-            word_counts(docs, seed).groupBy("lang", "hash")
-            .agg(F.min("word").alias("word"), F.max("word").alias("_last"), F.sum("n").alias("n"))
-        )
-        if words.filter("word <> _last").limit(1).count() == 0:
+        words = keep(word_counts(docs, seed).groupBy("lang", "word", "hash").agg(F.sum("n").alias("n")))
+        if words.groupBy("lang", "hash").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").limit(1).count() == 0:
             break
         keep.drop(words)
         seed += 1
-    frequent = words.filter(F.col("n") >= least)
-    spark = docs.sparkSession
-    word_filter = Bloom(_word_keys(frequent), "key")
-    pairs = pair_counts(docs, seed, word_filter).groupBy("lang", "pair").agg(F.sum("n").alias("n"))
-    pair_filter = Bloom(pairs.filter(F.col("n") >= least), "pair")
-    leaf_rows = keep(leaves(docs, seed, word_filter, pair_filter))
+    word_filter = Bloom(_word_keys(words.filter(F.col("n") >= least)), "key")
+    streamed = keep(streams(docs, seed, word_filter))
+    filters: list[Bloom] = []
+    for _ in range(2, DEPTH):
+        grams = gram_counts(streamed, filters).groupBy("gram").agg(F.sum("n").alias("n"))
+        filters.append(Bloom(grams.filter(F.col("n") >= least), "gram"))
+    leaf_rows = keep(leaves(streamed, filters))
+    keep.drop(streamed)
     n_leaves = leaf_rows.count()
     budget = max(group_leaves, -(-n_leaves // MOST_GROUPS))
     over = trunks(leaf_rows, budget)
