@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from cohortloom.session import settle
 
@@ -65,7 +66,7 @@ def lookup_all(
     ``keys[feature]`` names the columns of ``rows`` that stand for the stored key
     columns. The long table is written once and its features are measured in one
     small job; the smallest ones are broadcast until the budget of rows or bytes is
-    used up.
+    used up, the others are joined together.
     """
     tables = settle(tables.select("feature", *stored, value))
     per_key = tables.groupBy("feature", *stored).agg(
@@ -82,18 +83,63 @@ def lookup_all(
     if double:
         raise ValueError(f"lookup keys are not unique for {sorted(double)}")
     left, left_bytes = broadcast_rows, BROADCAST_BYTES
-    for feature in sorted(keys, key=lambda f: sizes[f]["n_keys"] if f in sizes else 0):
+    order, columns = sorted(keys, key=lambda f: sizes[f]["n_keys"] if f in sizes else 0), list(rows.columns)
+    long: list[str] = []
+    for feature in order:
+        n_keys, size = (sizes[feature]["n_keys"], sizes[feature]["size"]) if feature in sizes else (0, 0)
+        if n_keys > left or size > left_bytes:
+            long.append(feature)
+            continue
+        left, left_bytes = left - n_keys, left_bytes - size
         wanted = [k for k in stored[: len(keys[feature])]]
         part = tables.filter(F.col("feature") == feature).select(
             *[F.col(s).alias(f"_{s}") for s in wanted], F.col(value).alias(f"{feature}{suffix}")
         )
-        n_keys, size = (sizes[feature]["n_keys"], sizes[feature]["size"]) if feature in sizes else (0, 0)
-        if n_keys <= left and size <= left_bytes:
-            left, left_bytes = left - n_keys, left_bytes - size
-            part = F.broadcast(part)
         match = [rows[c] == F.col(f"_{s}") for s, c in zip(wanted, keys[feature])]
-        rows = rows.join(part, match, "left").drop(*[f"_{s}" for s in wanted])
-    return rows
+        rows = rows.join(F.broadcast(part), match, "left").drop(*[f"_{s}" for s in wanted])
+    if long:
+        rows = _looked_up_together(rows, tables, {f: keys[f] for f in long}, stored, value, suffix)
+    return rows.select(*columns, *[f"{f}{suffix}" for f in order])
+
+
+def _looked_up_together(
+    rows: DataFrame, tables: DataFrame, keys: Mapping[str, Sequence[str]], stored: Sequence[str], value: str, suffix: str
+) -> DataFrame:
+    """The lookups past the budget: one join and one regrouping, whatever their number.
+
+    Rows are written with a number of their own. Each stands once per feature in a long table,
+    which meets the tables on (feature, keys); adaptive execution splits a hot key. What
+    was found is brought back to its row by the number: a group is one row's own values.
+    """
+    rows = settle(rows.withColumn("__row", F.monotonically_increasing_id()))
+    types = {f.name: f.dataType for f in tables.schema}
+
+    def blank(s: str) -> Column:
+        """What stands in both tables where a feature has no such key column."""
+        return F.lit("" if isinstance(types[s], StringType) else 0).cast(types[s])
+
+    def stood_for(feature: str) -> Column:
+        """The keys of a feature as the table stores them."""
+        used = dict(zip(stored, keys[feature]))
+        made = [(F.col(used[s]).cast(types[s]) if s in used else blank(s)).alias(f"__{s}") for s in stored]
+        return F.struct(F.lit(feature).alias("feature"), *made)
+
+    wanted = rows.select("__row", F.inline(F.array(*[stood_for(f) for f in keys])))
+    wanted = wanted.dropna(subset=[f"__{s}" for s in stored])
+    depth = F.when(F.lit(False), F.lit(0))
+    for feature, columns in keys.items():
+        depth = depth.when(F.col("feature") == feature, F.lit(len(columns)))
+    part = tables.filter(F.col("feature").isin(list(keys))).select(
+        "feature", value,
+        *[
+            F.when(depth > i, F.col(s)).otherwise(blank(s)).alias(f"__{s}") for i, s in enumerate(stored)
+        ],
+    )
+    met = wanted.join(part, ["feature", *[f"__{s}" for s in stored]])
+    found = met.groupBy("__row").agg(
+        *[F.max(F.when(F.col("feature") == f, F.col(value))).alias(f"{f}{suffix}") for f in keys]
+    )
+    return rows.join(found, "__row", "left").drop("__row")
 
 
 def join_audit(rows: DataFrame, table: DataFrame, keys: Sequence[str], name: str) -> DataFrame:

@@ -1,11 +1,12 @@
 """One feature row per registered user from four logs.
 
-Each log is reduced in two steps. The first groups by (user, what is counted) and is
-combined map-side, so a user or page that holds a third of the log is spread over all
-tasks; the second adds up the few remaining rows per user. The activity log is read
-once for all of its 71 columns: every row stands for its day, page, action, page-action
-pair, video and author, and page and action masks carry the memberships that the
-pivoted distinct counts need.
+The three event logs are read once and reduced together to rows (user, kind, thing): every log
+row stands for its day, and a row of the activity log also for its page, action, page-action
+pair, video and author. Grouping by all three columns is combined map-side, so a user or
+page that holds a third of the log is spread over all tasks. A row keeps one state per day
+window (how often, on which pages, by which actions), so many windows cost no more rows than
+one. The reduced table is written; the columns of every user and the series per day are two
+aggregates over it, and nothing goes back to the logs.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortloom.functions.joins import lookup_all
 from cohortloom.operators.windows import DayWindow, in_window, in_windows
+from cohortloom.session import settle
 from cohortloom.sources.schemas import ACTIONS, HORIZON, PAGES
 
 # Column names of the feature row.
@@ -162,7 +164,7 @@ def _day_statistics(name: str, only: str | None = None, day: str = "day") -> lis
         for c in (
             f"min({at}) AS first_{name}_day",
             f"max({at}) AS last_{name}_day",
-            f"count({at}) AS {name}_days",
+            f"nullif(count({at}), 0L) AS {name}_days",
             f"avg({frequency}) AS {name}_frequency_avg",
             f"max({frequency}) AS {name}_frequency_max",
             f"min({frequency}) AS {name}_frequency_min",
@@ -174,6 +176,17 @@ def _day_statistics(name: str, only: str | None = None, day: str = "day") -> lis
 
 # Kinds of counted things in the mixed (user, kind, thing) rows.
 _DAY, _PAGE, _ACTION, _PAIR, _VIDEO, _AUTHOR = "d", "p", "a", "x", "v", "u"
+# Days of the other two logs.
+_LAUNCHED, _FILMED = "l", "f"
+_DAYS = (_DAY, _LAUNCHED, _FILMED)
+# Kinds of an activity row that a family of columns reads; its days tell that there are rows.
+_NEEDED = {
+    "days": {_DAY},
+    "distinct": {_DAY, _PAGE, _ACTION, _VIDEO, _AUTHOR},
+    "pages": {_DAY, _PAGE, _PAIR, _VIDEO, _AUTHOR},
+    "actions": {_DAY, _ACTION, _PAIR, _VIDEO, _AUTHOR},
+}
+_FAMILIES = tuple(_NEEDED)
 # A page-action pair is one number: the page in the upper half, the action in the lower.
 _LOW = 0xFFFFFFFF
 
@@ -196,40 +209,93 @@ def _number(condition: str) -> str:
     return f"nullif(count(CASE WHEN {condition} THEN 1 END), 0L)"
 
 
+def _marked(
+    log: DataFrame, keys: Sequence[str], kinds: dict[str, str], masks: dict[str, str]
+) -> DataFrame:
+    """(keys, _day, masks, kind, thing): a row per kind of thing that a log row stands for."""
+    marked = log.selectExpr(
+        *[f"`{k}`" for k in keys], "day AS _day",
+        *[f"{bits} AS {name}" for name, bits in masks.items()],
+        *[f"{value} AS {kind}" for kind, value in kinds.items()],
+    )
+    long = marked.unpivot([*keys, "_day", *masks], list(kinds), "kind", "thing")
+    return long.filter(F.col("thing").isNotNull())
+
+
+def _activity_kinds(parts: Sequence[str]) -> dict[str, str]:
+    values = {
+        _DAY: "day", _PAGE: "page", _ACTION: "action_type",
+        _PAIR: f"shiftleft(page, 32) | (action_type & {_LOW}L)", _VIDEO: "video_id", _AUTHOR: "author_id",
+    }
+    needed = set().union(*(_NEEDED[p] for p in parts))
+    return {kind: value for kind, value in values.items() if kind in needed}
+
+
+def _value_masks(parts: Sequence[str], pages: Sequence[int], actions: Sequence[int]) -> dict[str, str]:
+    found = _masks("page", "page", pages) if "pages" in parts else {}
+    return found | (_masks("action_type", "action", actions) if "actions" in parts else {})
+
+
 def activity_things(
     activity: DataFrame,
     pages: Sequence[int] = PAGES,
     actions: Sequence[int] = ACTIONS,
     window_tag: bool = False,
+    parts: Sequence[str] = _FAMILIES,
 ) -> DataFrame:
     """One row per (user, kind, thing): how often, on which pages, by which actions.
 
     The kinds are the day, the page, the action, the page-action pair, the video and
-    the author of a log row. Grouping is by all three columns, so neither a hot user
-    nor a hot video makes a large group.
+    the author of a log row, as far as ``parts`` needs them. Grouping is by all three
+    columns, so neither a hot user nor a hot video makes a large group.
     """
     keys = _keys(window_tag)
-    masks = _masks("page", "page", pages) | _masks("action_type", "action", actions)
-    marked = activity.selectExpr(
-        *[f"`{k}`" for k in keys],
-        *[f"{bits} AS {name}" for name, bits in masks.items()],
-        f"day AS {_DAY}",
-        f"page AS {_PAGE}",
-        f"action_type AS {_ACTION}",
-        f"shiftleft(page, 32) | (action_type & {_LOW}L) AS {_PAIR}",
-        f"video_id AS {_VIDEO}",
-        f"author_id AS {_AUTHOR}",
+    masks = _value_masks(parts, pages, actions)
+    return _marked(activity, keys, _activity_kinds(parts), masks).groupBy(*keys, "kind", "thing").agg(
+        F.count(F.lit(1)).alias("frequency"), *[F.bit_or(name).alias(name) for name in masks]
     )
-    kinds = [_DAY, _PAGE, _ACTION, _PAIR, _VIDEO, _AUTHOR]
-    return (
-        marked.unpivot([*keys, *masks], kinds, "kind", "thing")
-        .filter(F.col("thing").isNotNull())
-        .groupBy(*keys, "kind", "thing")
-        .agg(
-            F.count(F.lit(1)).alias("frequency"),
-            *[F.bit_or(name).alias(name) for name in masks],
+
+
+def log_things(
+    launch: DataFrame | None,
+    video: DataFrame | None,
+    activity: DataFrame | None,
+    windows: Sequence[DayWindow],
+    pages: Sequence[int] = PAGES,
+    actions: Sequence[int] = ACTIONS,
+    parts: Sequence[str] = _FAMILIES,
+) -> DataFrame:
+    """(window, user_id, kind, thing, frequency, masks) of all logs, each read once.
+
+    Rows are grouped once, whatever the number of windows: a group has one state per window,
+    and leaves as one row for each window that saw it. Days come out shifted.
+    """
+    masks = _value_masks(parts, pages, actions) if activity is not None else {}
+    none = {name: "0L" for name in masks}
+    rows = []
+    if launch is not None:
+        rows.append(_marked(launch, ["user_id"], {_LAUNCHED: "day"}, none))
+    if video is not None:
+        rows.append(_marked(video, ["user_id"], {_FILMED: "day"}, none))
+    if activity is not None:
+        rows.append(_marked(activity, ["user_id"], _activity_kinds(parts), masks))
+    long = reduce(DataFrame.unionByName, rows).filter(" OR ".join(f"({w.reads('_day')})" for w in windows))
+    states = []
+    for i, w in enumerate(windows):
+        inside = w.reads("_day")
+        states.append(F.expr(f"sum(CASE WHEN {inside} THEN 1L END)").alias(f"_n{i}"))
+        states += [F.expr(f"bit_or(CASE WHEN {inside} THEN {m} END)").alias(f"_{m}_{i}") for m in masks]
+    grouped = long.groupBy("user_id", "kind", "thing").agg(*states)
+    seen = F.array(*[
+        F.struct(
+            F.lit(w.name).alias("window"), F.lit(w.shift).cast("long").alias("_shift"), F.col(f"_n{i}").alias("frequency"),
+            *[F.col(f"_{m}_{i}").alias(m) for m in masks],
         )
-    )
+        for i, w in enumerate(windows)
+    ])
+    per_window = grouped.select("user_id", "kind", "thing", F.inline(F.filter(seen, lambda x: x["frequency"].isNotNull())))
+    thing = F.when(F.col("kind").isin(*_DAYS), F.col("thing") + F.col("_shift")).otherwise(F.col("thing"))
+    return per_window.select("window", "user_id", "kind", thing.alias("thing"), "frequency", *masks)
 
 
 def _pivots(name: str, values: Sequence[int], kind: str, half: str, crossed: str) -> list[Column]:
@@ -257,20 +323,15 @@ def _action_pivots(actions: Sequence[int]) -> list[Column]:
 
 
 def _distinct_counts() -> list[Column]:
+    """0 for what a user's rows left empty, NULL for a user without rows."""
+    rows = f"count(CASE WHEN kind = '{_DAY}' THEN 1 END) > 0"
     return [
-        F.expr(f"count(CASE WHEN kind = '{which}' THEN 1 END) AS {name}")
+        F.expr(f"CASE WHEN {rows} THEN count(CASE WHEN kind = '{which}' THEN 1 END) END AS {name}")
         for name, which in zip(DISTINCT_COLUMNS, (_PAGE, _VIDEO, _AUTHOR, _ACTION))
     ]
 
 
-def activity_per_user(
-    activity: DataFrame,
-    pages: Sequence[int] = PAGES,
-    actions: Sequence[int] = ACTIONS,
-    window_tag: bool = False,
-    parts: Sequence[str] = ("days", "distinct", "pages", "actions"),
-) -> DataFrame:
-    """All per-user columns of the activity log from one read of it."""
+def _activity_columns(parts: Sequence[str], pages: Sequence[int], actions: Sequence[int]) -> list[Column]:
     wanted: list[Column] = []
     if "days" in parts:
         wanted += _day_statistics("activity", f"kind = '{_DAY}'", "thing")
@@ -280,8 +341,33 @@ def activity_per_user(
         wanted += _page_pivots(pages)
     if "actions" in parts:
         wanted += _action_pivots(actions)
-    things = activity_things(activity, pages, actions, window_tag)
-    return things.groupBy(*_keys(window_tag)).agg(*wanted)
+    return wanted
+
+
+def activity_per_user(
+    activity: DataFrame,
+    pages: Sequence[int] = PAGES,
+    actions: Sequence[int] = ACTIONS,
+    window_tag: bool = False,
+    parts: Sequence[str] = _FAMILIES,
+) -> DataFrame:
+    """All per-user columns of the activity log from one read of it."""
+    things = activity_things(activity, pages, actions, window_tag, parts)
+    return things.groupBy(*_keys(window_tag)).agg(*_activity_columns(parts, pages, actions))
+
+
+def _series_of(things: DataFrame, names: dict[str, str], tag: Sequence[str]) -> DataFrame:
+    """Distinct users and events per day and kind, keyed by ``register_day``; kind -> name."""
+    known = F.col("user_id").isNotNull()
+    columns = []
+    for kind, name in names.items():
+        mine = (F.col("kind") == kind) & known
+        columns.append(F.count(F.when(mine, 1)).alias(f"{name}_day_user"))
+        columns.append(F.sum(F.when(mine, F.col("frequency"))).alias(f"{name}_day_frequency"))
+    per_day = things.filter(F.col("kind").isin(list(names))).groupBy(*tag, F.col("thing").alias("register_day"))
+    # a day without rows of a log has no number of users, rather than 0
+    users = [F.expr(f"nullif({name}_day_user, 0L)").alias(f"{name}_day_user") for name in names.values()]
+    return per_day.agg(*columns).select(*tag, "register_day", *users, *[f"{n}_day_frequency" for n in names.values()])
 
 
 def distinct_counts(activity: DataFrame, approximate: bool = False) -> DataFrame:
@@ -342,62 +428,64 @@ def user_features(
     ``parts`` picks feature families; logs that none of them needs are not read.
     """
     many = not isinstance(window, DayWindow)
-    spark = register.sparkSession
-
-    def cut(log: DataFrame, day: str, whole: bool = True) -> DataFrame:
-        if many:
-            return in_windows(spark, log, day, window, whole)
-        return in_window(log, day, window, whole)
-
+    windows = list(window) if many else [window]
     tag = ["window"] if many else []
     keys = _keys(many)
     closing = HORIZON if many else window.closing_day
-
-    users = register_features(cut(register, "register_day", whole=False), many)
+    if many:
+        registered = in_windows(register.sparkSession, register, "register_day", windows, whole=False)
+    else:
+        registered = in_window(register, "register_day", window, whole=False)
+    users = register_features(registered, many)
     columns = list(users.columns)
     derived: dict[str, str] = {}
-    logs: list[DataFrame] = []
-    series: list[DataFrame] = []
+    series: dict[str, str] = {}
+    measures: list[Column] = []
 
+    families = [p for p in ("distinct", "pages", "actions") if p in parts]
+    if "activity" in parts:
+        families = ["days", *families]
     # days launched and days with a video are also read by later families
-    if {"launch", "video", "activity"} & set(parts):
-        launched = cut(launch.select("user_id", "day"), "day")
-        logs.append(launch_per_user(launched, many))
-        if "launch" in parts:
-            series.append(daily_series(launched, "launch", tag, events=False))
-            derived |= _launch_derived(closing)
-            columns += LAUNCH_COLUMNS
-    if {"video", "activity"} & set(parts):
-        filmed = cut(video.select("user_id", "day"), "day")
-        logs.append(video_per_user(filmed, many))
-        if "video" in parts:
-            series.append(daily_series(filmed, "video", tag))
-            derived |= _log_derived("video", closing)
-            columns += VIDEO_COLUMNS
-    wanted = [p for p in ("distinct", "pages", "actions") if p in parts]
+    launched = bool({"launch", "video", "activity"} & set(parts))
+    filmed = bool({"video", "activity"} & set(parts))
+    if not launched and not families:
+        return users.select(*columns)
+    if launched:
+        at = f"CASE WHEN kind = '{_LAUNCHED}' THEN thing END"
+        measures.append(F.expr(f"max({at}) AS last_launch_day"))
+        measures.append(F.expr(f"sum(CASE WHEN kind = '{_LAUNCHED}' THEN frequency END) AS launch_days"))
+    if "launch" in parts:
+        series[_LAUNCHED] = "launch"
+        derived |= _launch_derived(closing)
+        columns += LAUNCH_COLUMNS
+    if filmed:
+        measures += _day_statistics("video", f"kind = '{_FILMED}'", "thing")
+    if "video" in parts:
+        series[_FILMED] = "video"
+        derived |= _log_derived("video", closing)
+        columns += VIDEO_COLUMNS
+    measures += _activity_columns(families, pages, actions)
     if "activity" in parts:
-        wanted = ["days", *wanted]
-    if wanted:
-        active = cut(activity, "day")
-        logs.append(activity_per_user(active, pages, actions, many, wanted))
-        if "activity" in parts:
-            series.append(daily_series(active, "activity", tag))
-            derived |= _log_derived("activity", closing)
-            derived["activity_sub_video"] = "activity_days - video_days"
-            columns += ACTIVITY_COLUMNS
-        if "distinct" in parts:
-            columns += DISTINCT_COLUMNS
-        if "pages" in parts:
-            columns += page_columns(pages)
-        if "actions" in parts:
-            columns += action_columns(actions)
-
-    # at most one row per day (and window): bounded, so broadcast; the logs are
-    # already partitioned by the keys they are joined on
-    joined = reduce(
-        lambda a, b: a.join(F.broadcast(b), [*tag, "register_day"], "left"), series, users
-    )
-    joined = reduce(lambda a, b: a.join(b, keys, "left"), logs, joined)
+        series[_DAY] = "activity"
+        derived |= _log_derived("activity", closing)
+        derived["activity_sub_video"] = "activity_days - video_days"
+        columns += ACTIVITY_COLUMNS
+    if "distinct" in parts:
+        columns += DISTINCT_COLUMNS
+    if "pages" in parts:
+        columns += page_columns(pages)
+    if "actions" in parts:
+        columns += action_columns(actions)
+
+    things = settle(log_things(
+        launch if launched else None, video if filmed else None, activity if families else None,
+        windows, pages, actions, families,
+    ))
+    joined = users
+    if series:
+        # at most one row per day (and window): bounded, so broadcast
+        joined = joined.join(F.broadcast(_series_of(things, series, tag)), [*tag, "register_day"], "left")
+    joined = joined.join(things.groupBy(*keys).agg(*measures), keys, "left")
     return joined.selectExpr(*[f"{derived[c]} AS {c}" if c in derived else f"`{c}`" for c in columns])
 
 

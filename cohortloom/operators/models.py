@@ -1,67 +1,59 @@
-"""Fits on Spark ML: design matrix, boosted trees, linear models, grids and selections.
+"""Fits on Spark ML: boosted trees, linear models, grids and selections.
 
-The driver sees metrics only. Scores of all grid points are judged together by the exact
-metric, in one job.
+The driver sees models and metrics only; matrices come from ``design``. Scores of all grid
+points are judged together by the exact metric, in one job.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Callable, Hashable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 from itertools import product
+from typing import TypeVar
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import (
-    CountVectorizer, FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler,
-)
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from cohortloom.functions.splitting import fold
+from cohortloom.operators.design import Blocks, Encoder
 from cohortloom.operators.metrics import roc_auc
 from cohortloom.session import settle
 
+T = TypeVar("T")
 
-# Every token keeps its column.
-_ALL = (1 << 31) - 1
+# Fits that run at the same time, each in a scheduling pool of its own.
+PARALLEL_FITS = 4
 
 
 def design_matrix(
-    categories: Sequence[str] = (),
-    tokens: Sequence[str] = (),
-    numbers: Sequence[str] = (),
-    hashed: Sequence[str] = (),
-    hash_width: int = 1 << 18,
-    output: str = "features",
-) -> Pipeline:
-    """One-hot, token-count and numeric blocks in one sparse vector column.
-
-    Every level and token keeps its column and unknown levels share one. Columns with too
-    many of them for an index on the driver go through ``hashed``, whose width is fixed.
+    categories: Sequence[str] = (), tokens: Sequence[str] = (), numbers: Sequence[str] = ()
+) -> Blocks:
+    """One-hot, token-count and numeric blocks in one sparse vector column."""
+    return Blocks(tuple(categories), tuple(tokens), tuple(numbers))
+
+
+def concurrently(spark: SparkSession, jobs: Mapping[Hashable, Callable[[], T]], parallel: int = PARALLEL_FITS) -> dict[Hashable, T]:
+    """Results of independent jobs by name, ``parallel`` of them at a time.
+
+    Every job has a job group and a scheduling pool of its own: with fair scheduling they
+    share the executors, and a small fit does not wait for a large one.
     """
-    stages, inputs = [], []
-    if categories:
-        codes = [f"{c}_index" for c in categories]
-        stages.append(StringIndexer(inputCols=list(categories), outputCols=codes,
-                                    stringOrderType="alphabetAsc", handleInvalid="keep"))
-        hot = [f"{c}_hot" for c in categories]
-        stages.append(OneHotEncoder(inputCols=codes, outputCols=hot, dropLast=False, handleInvalid="keep"))
-        inputs += hot
-    if tokens:
-        split = ", ".join(f"split(lower({t}), ' ') AS {t}_tokens" for t in tokens)
-        stages.append(SQLTransformer(statement=f"SELECT *, {split} FROM __THIS__"))
-        for t in tokens:
-            stages.append(CountVectorizer(inputCol=f"{t}_tokens", outputCol=f"{t}_counts", vocabSize=_ALL))
-            inputs.append(f"{t}_counts")
-    if hashed:
-        stages.append(FeatureHasher(inputCols=list(hashed), outputCol="_hashed", numFeatures=hash_width))
-        inputs.append("_hashed")
-    inputs += list(numbers)
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="keep"))
-    return Pipeline(stages=stages)
+    context = spark.sparkContext
+
+    def run(item: tuple[Hashable, Callable[[], T]]) -> tuple[Hashable, T]:
+        name, job = item
+        context.setJobGroup(f"fit {name}", f"fit {name}")
+        context.setLocalProperty("spark.scheduler.pool", f"fit {name}")
+        return name, job()
+
+    # wrapped one by one: each keeps local properties of its own
+    wrapped = [inheritable_thread_target(partial(run, item)) for item in jobs.items()]
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        return dict(pool.map(lambda job: job(), wrapped))
 
 
 def boosted_trees(rounds: int = 300, rate: float = 0.02, depth: int = 5, min_rows: int = 50,
@@ -83,17 +75,21 @@ def logistic_alpha(alpha: float, iterations: int = 100, l1_ratio: float = 0.0, t
                               standardization=False)
 
 
-def positive_score(scored: DataFrame, name: str = "score") -> DataFrame:
-    return scored.withColumn(name, vector_to_array(F.col("probability"))[1])
+# Decimals of a score: rows that a fit cannot tell apart are tied, whatever the last bits say.
+SCORE_PLACES = 6
+
+
+def positive_score(scored: DataFrame, name: str = "score", places: int = SCORE_PLACES) -> DataFrame:
+    return scored.withColumn(name, F.round(vector_to_array(F.col("probability"))[1], places))
 
 
 def score_feature(train: DataFrame, sets: Sequence[DataFrame], numbers: Sequence[str],
-                  c: float = 500.0, iterations: int = 200, name: str = "lr_score") -> list[DataFrame]:
+                  c: float = 500.0, iterations: int = 200, name: str = "lr_score", tol: float = 1e-4) -> list[DataFrame]:
     """Fit on ``train``, then add the score to each set as a new numeric feature."""
     filled = train.na.fill(0.0, list(numbers))
     assemble = VectorAssembler(inputCols=list(numbers), outputCol="_numbers")
     n = train.count()
-    model = logistic(c, n, iterations).setFeaturesCol("_numbers").fit(assemble.transform(filled))
+    model = logistic(c, n, iterations, tol=tol).setFeaturesCol("_numbers").fit(assemble.transform(filled))
     out = []
     for df in sets:
         scored = model.transform(assemble.transform(df.na.fill(0.0, list(numbers))))
@@ -114,7 +110,7 @@ def judge(points: Mapping[tuple, DataFrame], names: Sequence[str]) -> DataFrame:
     )
 
 
-def grid_search(matrix: DataFrame, make, grid: Mapping[str, Sequence]) -> DataFrame:
+def grid_search(matrix: DataFrame, make, grid: Mapping[str, Sequence], parallel: int = PARALLEL_FITS) -> DataFrame:
     """Fit ``make(**point)`` on the training rows for every point; AUC on both parts.
 
     ``matrix`` has features, label and is_train. Every fit reads it, so it is written once:
@@ -123,29 +119,43 @@ def grid_search(matrix: DataFrame, make, grid: Mapping[str, Sequence]) -> DataFr
     names = list(grid)
     matrix = settle(matrix.select("features", "label", "is_train"))
     train = matrix.filter(F.col("is_train") == 1)
-    points = {}
-    for point in product(*grid.values()):
-        model = make(**dict(zip(names, point))).fit(train)
-        points[point] = positive_score(model.transform(matrix))
-    return judge(points, names)
-
-
-def cross_validate(matrix: DataFrame, estimator, grid: Mapping, folds: int = 5, seed: int = 0, parallelism: int = 2) -> DataFrame:
-    """(point, auc_mean, auc_std, lower, upper): the band over the folds for every grid point."""
-    builder = ParamGridBuilder()
-    for param, values in grid.items():
-        builder = builder.addGrid(param, list(values))
-    maps = builder.build()
-    validator = CrossValidator(estimator=estimator, estimatorParamMaps=maps, numFolds=folds, seed=seed,
-                               evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"),
-                               parallelism=parallelism)
-    fitted = validator.fit(matrix)
-    rows = [
-        (str({p.name: v for p, v in m.items()}), float(mean), float(std), float(mean - std), float(mean + std))
-        for m, mean, std in zip(maps, fitted.avgMetrics, fitted.stdMetrics)
+    jobs = {
+        point: lambda point=point: make(**dict(zip(names, point))).fit(train) for point in product(*grid.values())
+    }
+    fitted = concurrently(matrix.sparkSession, jobs, parallel)
+    return judge({point: positive_score(model.transform(matrix)) for point, model in fitted.items()}, names)
+
+
+def cross_validate(
+    matrix: DataFrame, make, grid: Mapping[str, Sequence], folds: int = 5, parallel: int = PARALLEL_FITS
+) -> DataFrame:
+    """(grid columns, auc_mean, auc_std, lower, upper): the band over the folds for every point.
+
+    ``matrix`` has features, label and fold, a number below ``folds`` that depends on the
+    keys alone. Every (point, fold) is one fit on the other folds, and one job gives all
+    exact areas.
+    """
+    names = list(grid)
+    matrix = settle(matrix.select("features", "label", "fold"))
+    jobs = {
+        (*point, k): lambda point=point, k=k: make(**dict(zip(names, point))).fit(matrix.filter(F.col("fold") != k))
+        for point in product(*grid.values()) for k in range(folds)
+    }
+    fitted = concurrently(matrix.sparkSession, jobs, parallel)
+    tagged = [
+        positive_score(model.transform(matrix.filter(F.col("fold") == at[-1]))).select(
+            *[F.lit(v).alias(n) for n, v in zip(names, at)], "fold", "label", "score"
+        )
+        for at, model in fitted.items()
     ]
-    return matrix.sparkSession.createDataFrame(
-        rows, "point string, auc_mean double, auc_std double, lower double, upper double"
+    return _band(roc_auc(reduce(DataFrame.unionByName, tagged), [*names, "fold"]), names)
+
+
+def _band(aucs: DataFrame, by: Sequence[str]) -> DataFrame:
+    mean, spread = F.avg("auc"), F.stddev_pop("auc")
+    return aucs.groupBy(*by).agg(
+        mean.alias("auc_mean"), spread.alias("auc_std"),
+        (mean - spread).alias("lower"), (mean + spread).alias("upper"),
     )
 
 
@@ -154,7 +164,7 @@ def scores_per_round(model: GBTClassificationModel, rows: DataFrame, keep: Seque
 
     A model's first r trees are the model of round r. The trees' values form one array,
     and its running sums are one fold over it: an expression whose size is that of the
-    model, not its square.
+    model, not its square. Margins are rounded, so that rows that no tree tells apart are tied.
     """
     for i, tree in enumerate(model.trees):
         rows = tree.setPredictionCol(f"_tree{i}").transform(rows)
@@ -162,29 +172,28 @@ def scores_per_round(model: GBTClassificationModel, rows: DataFrame, keep: Seque
     last = len(model.trees)
     sums = F.aggregate("_values", F.array(F.lit(0.0)), lambda done, v: F.array_append(done, F.element_at(done, -1) + v))
     rounds = F.array(*[F.lit(r) for r in range(1, last + 1) if r % every == 0 or r == last])
-    totals = F.transform(rounds, lambda r: F.struct(r.alias("round"), F.element_at("_sums", r + 1).alias("score")))
+    totals = F.transform(rounds, lambda r: F.struct(r.alias("round"), F.round(F.element_at("_sums", r + 1), 9).alias("score")))
     return (
         rows.select(*keep, values.alias("_values")).withColumn("_sums", sums).select(*keep, F.inline(totals))
     )
 
 
-def rounds_band(matrix: DataFrame, trees: GBTClassifier, keys: Sequence[str], folds: int = 5,
-                every: int = 1, seed: int = 0) -> DataFrame:
+def rounds_band(
+    matrix: DataFrame, trees: GBTClassifier, folds: int = 5, every: int = 1, parallel: int = PARALLEL_FITS
+) -> DataFrame:
     """(round, auc_mean, auc_std, lower, upper): cross-validated AUC after each boosting round.
 
-    One fit per fold; one job judges every (fold, round).
+    ``matrix`` has features, label and fold. One fit per fold, several at a time; one job
+    judges every (fold, round).
     """
-    matrix = settle(matrix.select(*keys, "features", "label").withColumn("fold", fold(keys, folds, seed)))
-    judged = []
-    for k in range(folds):
-        model = trees.fit(matrix.filter(F.col("fold") != k))
-        judged.append(scores_per_round(model, matrix.filter(F.col("fold") == k), ["fold", "label"], every))
-    aucs = roc_auc(reduce(DataFrame.unionByName, judged), ["fold", "round"])
-    mean, spread = F.avg("auc"), F.stddev_pop("auc")
-    return aucs.groupBy("round").agg(
-        mean.alias("auc_mean"), spread.alias("auc_std"),
-        (mean - spread).alias("lower"), (mean + spread).alias("upper"),
-    )
+    matrix = settle(matrix.select("features", "label", "fold"))
+    jobs = {k: lambda k=k: trees.fit(matrix.filter(F.col("fold") != k)) for k in range(folds)}
+    fitted = concurrently(matrix.sparkSession, jobs, parallel)
+    judged = [
+        scores_per_round(model, matrix.filter(F.col("fold") == k), ["fold", "label"], every)
+        for k, model in fitted.items()
+    ]
+    return _band(roc_auc(reduce(DataFrame.unionByName, judged), ["fold", "round"]), ["round"])
 
 
 def rounds_auc(model: GBTClassificationModel, matrix: DataFrame, every: int = 1) -> DataFrame:
@@ -212,31 +221,47 @@ def stopping_round(per_round: DataFrame, patience: int = 100, by: str = "AUC_1")
     return read.agg(F.max(best).alias("b")).select((-F.col("b._early")).alias("round"), F.col(f"b.{by}").alias(by))
 
 
-def fit_and_score(samples: DataFrame, blocks: Pipeline, estimator) -> tuple[PipelineModel, DataFrame]:
+def fit_and_score(samples: DataFrame, blocks: Blocks, estimator) -> tuple[Encoder, Model, DataFrame]:
     """Encoders see all rows, the estimator only training rows; returns scores for both parts."""
     encoder = blocks.fit(samples)
     matrix = encoder.transform(samples)
     model = estimator.fit(matrix.filter(F.col("is_train") == 1))
-    return PipelineModel([encoder, model]), positive_score(model.transform(matrix))
+    return encoder, model, positive_score(model.transform(matrix))
+
+
+def _fits_of_blocks(
+    samples: DataFrame, wanted: Mapping[tuple, Sequence[str]], make, names: Sequence[str], parallel: int
+) -> DataFrame:
+    """One fit per list of categories, all from one matrix: a fit takes its blocks as slices.
+
+    Levels are numbered and rows encoded once, whatever the number of fits.
+    """
+    used = list(dict.fromkeys(c for columns in wanted.values() for c in columns))
+    encoder = design_matrix(categories=used).fit(samples)
+    matrix = encoder.transform(samples.select(*used, "label", "is_train"), "all_features")
+
+    def fit(columns: Sequence[str]) -> DataFrame:
+        slicer = VectorSlicer(inputCol="all_features", outputCol="features", indices=encoder.columns(columns))
+        rows = slicer.transform(matrix)
+        return positive_score(make().fit(rows.filter(F.col("is_train") == 1)).transform(rows))
+
+    jobs = {point: lambda columns=columns: fit(columns) for point, columns in wanted.items()}
+    return judge(concurrently(samples.sparkSession, jobs, parallel), names)
 
 
-def forward_selection(samples: DataFrame, base: Sequence[str], candidates: Sequence[str], make) -> DataFrame:
+def forward_selection(
+    samples: DataFrame, base: Sequence[str], candidates: Sequence[str], make, parallel: int = PARALLEL_FITS
+) -> DataFrame:
     """Candidates are added one after the other and stay: (step, var_name, train_auc, valid_auc).
 
     ``candidates`` come in the order of a one-pass screen; each step is one fit.
     """
-    points = {}
-    for step in range(1, len(candidates) + 1):
-        used = [*base, *candidates[:step]]
-        _, scored = fit_and_score(samples, design_matrix(categories=used), make())
-        points[(step, candidates[step - 1])] = scored
-    return judge(points, ["step", "var_name"])
+    wanted = {(k, c): [*base, *candidates[:k]] for k, c in enumerate(candidates, start=1)}
+    return _fits_of_blocks(samples, wanted, make, ["step", "var_name"], parallel)
 
 
-def single_additions(samples: DataFrame, base: Sequence[str], candidates: Sequence[str], make) -> DataFrame:
+def single_additions(
+    samples: DataFrame, base: Sequence[str], candidates: Sequence[str], make, parallel: int = PARALLEL_FITS
+) -> DataFrame:
     """Each candidate alone on top of the base: (var_name, train_auc, valid_auc)."""
-    points = {}
-    for name in candidates:
-        _, scored = fit_and_score(samples, design_matrix(categories=[*base, name]), make())
-        points[(name,)] = scored
-    return judge(points, ["var_name"])
+    return _fits_of_blocks(samples, {(c,): [*base, c] for c in candidates}, make, ["var_name"], parallel)

@@ -51,6 +51,11 @@ class DayWindow:
         """Last log day after the shift: the horizon for every unpinned window."""
         return self.last_log_day + self.shift
 
+    def reads(self, day: str) -> str:
+        """SQL condition on a day column: rows of the logs that belong to the window."""
+        until = f"{day} <= {self.last_log_day}"
+        return until if self.start is None else f"{day} >= {self.start} AND {until}"
+
     @property
     def name(self) -> str:
         return f"{self.start or 0}-{self.end}+{self.weeks_ahead}"

@@ -36,8 +36,6 @@ SCREENED = {
     **{f"{a}X{b}": [a, b] for a, b in encoders.pair_names(USER_ATTRIBUTES)},
     **{f"{a}_aid": [a, "aid"] for a in USER_ATTRIBUTES},
 }
-CUTS = [1, 2, 3, 5, 8, 12, 16]
-DOCUMENT_CUTS = [1, 5, 10, 25, 50, 100, 150]
 
 
 def samples(spark, sf_dir):
@@ -302,12 +300,13 @@ def feature_screen(spark, sf_dir):
 
 
 def token_cut_search(spark, sf_dir):
-    return rounded(screening.cut_search(samples(spark, sf_dir), "interest1", CUTS))
+    """The cut curve of one token column: every number of kept tokens."""
+    return rounded(screening.cut_curve(samples(spark, sf_dir), "interest1"))
 
 
 def document_cut_search(spark, sf_dir):
-    documents = proxies.labelled_documents(spark, sf_dir)
-    return rounded(screening.cut_search(documents, "text", DOCUMENT_CUTS))
+    """The cut curve over the whole vocabulary of the labelled texts."""
+    return rounded(screening.cut_curve(proxies.labelled_documents(spark, sf_dir), "text"))
 
 
 QUERIES = {
@@ -483,11 +482,11 @@ def _f1_sql(source: str, by: str = "") -> str:
 _LINES = """SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label, l_discount AS score,
   CAST(l_linenumber AS BIGINT) AS part FROM lineitem"""
 
-_FOUR = """count(*) FILTER (is_train = 1 AND label = 1) AS tp, count(*) FILTER (is_train = 1 AND label <> 1) AS tn,
+FOUR = """count(*) FILTER (is_train = 1 AND label = 1) AS tp, count(*) FILTER (is_train = 1 AND label <> 1) AS tn,
   count(*) FILTER (is_train <> 1 AND label = 1) AS vp, count(*) FILTER (is_train <> 1 AND label <> 1) AS vn"""
 
 
-def _two_auc_tail(by: str, source: str, more: str = "") -> str:
+def two_auc_tail(by: str, source: str, more: str = "") -> str:
     return f"""b AS (SELECT *, sum(tn) OVER (PARTITION BY {by} ORDER BY score) - tn AS tb,
         sum(vn) OVER (PARTITION BY {by} ORDER BY score) - vn AS vb FROM {source}),
       a AS (SELECT {by}, round(CAST(sum(tp * (tb + tn / 2.0)) AS DOUBLE) / nullif(CAST(sum(tp) AS DOUBLE) * CAST(sum(tn) AS DOUBLE), 0), 6) AS AUC_0,
@@ -498,33 +497,63 @@ def _two_auc_tail(by: str, source: str, more: str = "") -> str:
 def _screen_sql() -> str:
     parts = []
     for f, columns in SCREENED.items():
-        parts.append(f"SELECT '{f}' AS var_name, {_FOUR} FROM samples WHERE label <> -1 GROUP BY {', '.join(columns)}")
+        parts.append(f"SELECT '{f}' AS var_name, {FOUR} FROM samples WHERE label <> -1 GROUP BY {', '.join(columns)}")
     return _with(
         f"levels AS ({_union(parts)})",
         "overall AS (SELECT var_name, CAST(sum(tp) AS DOUBLE) / CAST(sum(tp + tn) AS DOUBLE) AS o FROM levels GROUP BY 1)",
         """scored AS (SELECT var_name, CASE WHEN tp + tn > 0 THEN tp / (tp + tn) ELSE o END AS score,
            sum(tp) AS tp, sum(tn) AS tn, sum(vp) AS vp, sum(vn) AS vn FROM levels JOIN overall USING (var_name) GROUP BY 1, 2)""",
-        _two_auc_tail("var_name", "scored"),
+        two_auc_tail("var_name", "scored"),
     ) + "SELECT var_name, AUC_0, AUC_1 FROM a"
 
 
-def _cut_sql(cte: str, source: str, column: str, cuts) -> str:
-    values = ", ".join(f"({n})" for n in cuts)
+def _cut_sql(cte: str, source: str, column: str) -> str:
+    """Every cut built anew: for short vocabularies."""
     return f"""WITH {cte},
       t AS (SELECT unnest(string_split({column}, ' ')) AS token, label, is_train FROM {source} WHERE label <> -1),
-      k AS (SELECT token, {_FOUR}, row_number() OVER (ORDER BY count(*) DESC, token) AS pos
+      k AS (SELECT token, {FOUR}, row_number() OVER (ORDER BY count(*) DESC, token) AS pos
             FROM t WHERE token <> '-1' GROUP BY token),
-      cuts(kept) AS (VALUES {values}),
+      cuts AS (SELECT pos AS kept FROM k),
       merged AS (SELECT CAST(kept AS BIGINT) AS kept, CASE WHEN pos <= kept THEN pos ELSE 0 END AS slot,
         sum(tp) AS tp, sum(tn) AS tn, sum(vp) AS vp, sum(vn) AS vn FROM cuts CROSS JOIN k GROUP BY 1, 2),
       scored AS (SELECT kept, CASE WHEN tp + tn > 0 THEN tp / (tp + tn) ELSE 0 END AS score,
         sum(tp) AS tp, sum(tn) AS tn, sum(vp) AS vp, sum(vn) AS vn FROM merged GROUP BY 1, 2),
-      {_two_auc_tail('kept', 'scored')},
+      {two_auc_tail('kept', 'scored')},
       cover AS (SELECT kept, round(1 - CAST(sum(tp + tn + vp + vn) FILTER (slot = 0) AS DOUBLE) / CAST(sum(tp + tn + vp + vn) AS DOUBLE), 6) AS coverage
         FROM merged GROUP BY 1)
       SELECT kept, kept + 1 AS cut_num, coalesce(coverage, 1.0) AS coverage, AUC_0, AUC_1 FROM a JOIN cover USING (kept)"""
 
 
+def _cut_curve_sql(cte: str, source: str, column: str) -> str:
+    """Every cut from the one before it: all pairs of tokens are met once, none is grouped per cut."""
+
+    def below(weight: str, score: str) -> str:
+        return f"sum(j.{weight} * CASE WHEN j.s < i.{score} THEN 1 WHEN j.s = i.{score} THEN 0.5 ELSE 0 END)"
+
+    sums = ", ".join(
+        f"{below(w, score)} AS {w}_{score}" for w in ("tp", "tn", "vp", "vn") for score in ("s", "b")
+    )
+    rest = {w: f"(sum({w}) OVER () - sum({w}) OVER (ORDER BY pos))" for w in ("tp", "tn", "vp", "vn")}
+    left = ", ".join(f"CAST({e} AS DOUBLE) AS {w}_left" for w, e in rest.items())
+
+    def area(p: str, n: str) -> str:
+        return f"""round((sum({p} * {n}_s + {n} * (sum_{p} - {p}_s) - {p} * {n} / 2.0) OVER (ORDER BY pos)
+          + {p}_left * {n}_b + {n}_left * (sum_{p} - {p}_b) + {p}_left * {n}_left / 2) / nullif(all_{p} * all_{n}, 0), 6)"""
+
+    whole = ", ".join(f"CAST(sum({w}) OVER () AS DOUBLE) AS all_{w}, CAST(sum({w}) OVER (ORDER BY pos) AS DOUBLE) AS sum_{w}" for w in rest)
+    return f"""WITH {cte},
+      t AS (SELECT unnest(string_split({column}, ' ')) AS token, label, is_train FROM {source} WHERE label <> -1),
+      k AS (SELECT token, {FOUR}, row_number() OVER (ORDER BY count(*) DESC, token) AS pos
+            FROM t WHERE token <> '-1' GROUP BY token),
+      r AS (SELECT *, CASE WHEN tp + tn > 0 THEN tp / (tp + tn) ELSE 0 END AS s, {left}, {whole} FROM k),
+      q AS (SELECT *, CASE WHEN tp_left + tn_left > 0 THEN tp_left / (tp_left + tn_left) ELSE 0 END AS b FROM r),
+      d AS (SELECT i.pos, {sums} FROM q i JOIN q j ON j.pos <= i.pos GROUP BY i.pos)
+      SELECT CAST(pos AS BIGINT) AS kept, CAST(pos AS BIGINT) + 1 AS cut_num,
+        round(1 - (tp_left + tn_left + vp_left + vn_left) / (all_tp + all_tn + all_vp + all_vn), 6) AS coverage,
+        {area('tp', 'tn')} AS AUC_0, {area('vp', 'vn')} AS AUC_1
+      FROM q JOIN d USING (pos)"""
+
+
 def _audit_sql(name: str, table: str, key: str) -> str:
     return f"""SELECT '{name}' AS lookup, CAST(sum(n) AS BIGINT) AS rows_before, CAST(sum(n * greatest(coalesce(m, 0), 1)) AS BIGINT) AS rows_after,
       CAST(coalesce(sum(n) FILTER (m IS NULL), 0) AS BIGINT) AS unmatched_rows, CAST((SELECT count(*) FROM ({table}) WHERE m > 1) AS BIGINT) AS double_keys
@@ -630,6 +659,6 @@ ORACLES = {
     "best_f1_all": _f1_sql(_LINES),
     "best_f1_by_part": _f1_sql(_LINES, "part"),
     "feature_screen": _screen_sql(),
-    "token_cut_search": _cut_sql(SAMPLES_SQL, "samples", "interest1", CUTS),
-    "document_cut_search": _cut_sql(DOCUMENTS_SQL, "docs", "text", DOCUMENT_CUTS),
+    "token_cut_search": _cut_sql(SAMPLES_SQL, "samples", "interest1"),
+    "document_cut_search": _cut_curve_sql(DOCUMENTS_SQL, "docs", "text"),
 }

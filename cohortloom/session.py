@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -51,18 +52,19 @@ def run_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/cohortloom/{spark.sparkContext.applicationId}"
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from there.
 
     Used where a result is read more than once and must be the same each time (row
     positions after a range partitioning) or where its size is to be counted before a
     join is chosen. Survives the loss of executors; being columnar, it can be read by
-    column and its size is known to the optimizer.
+    column and its size is known to the optimizer. ``schema`` names other types of the same
+    stored form, as for vectors.
     """
     spark = df.sparkSession
     path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
 
 
 def drop_settled(spark: SparkSession) -> None:

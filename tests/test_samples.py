@@ -1,10 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
 
-from cohortloom.functions import joins, ordering, scalars, splitting
+from cohortloom.functions import dominance, joins, ordering, scalars, splitting
 from cohortloom.functions.tokens import replace_tokens, shared_tokens, token_count
 from cohortloom.operators import encoders, metrics, rates, screening, tokens
 from cohortloom.session import shared_folder
@@ -232,6 +233,37 @@ def test_cut_search_at_full_width_covers_everything(spark):
     assert got[5]["AUC_1"] == got[9]["AUC_1"] and got[5]["cut_num"] == 6
 
 
+def test_cut_curve_is_the_cut_search_of_every_cut(spark, rows):
+    """Every cut against one built anew, in many small ranges, with tied scores and hot tokens."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(60)]
+    data = [
+        (i % 2 if i % 3 else -1, int(rng.random() < 0.7), " ".join(rng.choices(words, [60 - w for w in range(60)], k=rng.randrange(6))) or "-1")
+        for i in range(300)
+    ]
+    df = spark.createDataFrame(data, "label long, is_train long, t string")
+    n = len({w for label, _, t in data if label >= 0 for w in t.split(" ")} - {"-1"})
+    want = rows(screening.cut_search(df, "t", list(range(1, n + 1))))
+    for size in (7, 1 << 16):
+        assert rows(screening.cut_curve(df, "t", range_rows=size)) == want
+
+
+def test_cut_curve_of_nothing(spark):
+    df = spark.createDataFrame([(1, 1, "-1")], "label long, is_train long, t string")
+    assert screening.cut_curve(df, "t").collect() == []
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sums_before_equal_brute_force(seed):
+    rng = np.random.default_rng(seed)
+    n = [0, 13, 64][seed]
+    places, weights = rng.permutation(n), rng.integers(0, 9, (n, 2))
+    first, second = rng.integers(0, n + 1, 50), rng.integers(0, n + 1, 50)
+    got = dominance.sums_before(places, weights, first, second)
+    for k, x, s in zip(first, second, got):
+        assert s.tolist() == weights[:k][places[:k] < x].sum(axis=0).tolist()
+
+
 def test_split_depends_on_keys_alone(spark, rows):
     df = spark.range(1000).withColumnRenamed("id", "k")
     a, b = splitting.train_valid_split(df, ["k"], 0.3, 4)
