@@ -51,7 +51,7 @@ def concurrently(spark: SparkSession, jobs: Mapping[Hashable, Callable[[], T]],
         return name, job()
 
     # wrapped one by one: each keeps local properties of its own
-    wrapped = [inheritable_thread_target(partial(run, item)) for item in jobs.items()]
+    wrapped = [inheritable_thread_target(spark)(partial(run, item)) for item in jobs.items()]
     with ThreadPoolExecutor(max(1, parallel)) as pool:
         return dict(pool.map(lambda job: job(), wrapped))
 

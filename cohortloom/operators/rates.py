@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,6 +12,7 @@ from cohortloom.functions.scalars import ratio
 from cohortloom.functions.splitting import fold
 from cohortloom.functions.tokens import join_values
 from cohortloom.operators.tokens import token_rows
+from cohortloom.session import settle
 from cohortloom.sources.schemas import MISSING
 
 Features = Mapping[str, Sequence[str]]
@@ -78,6 +80,97 @@ def smooth_rates(rates: DataFrame, value: str = "smoothed") -> DataFrame:
     ).drop("_mean", "_var")
 
 
+def digamma(x: Column) -> Column:
+    """The derivative of the logarithm of the gamma function, for x > 0, to about ten digits."""
+    y = x + 6.0
+    inverse = 1.0 / y
+    square = inverse * inverse
+    series = square * (1 / 12 - square * (1 / 120 - square * (1 / 252 - square * (1 / 240 - square / 132))))
+    return F.log(y) - inverse / 2 - series - sum((1.0 / (x + float(j)) for j in range(6)), F.lit(0.0))
+
+
+# The parameters of a beta distribution that a fit may reach; beyond them there is no optimum.
+_LEAST, _MOST = 1e-6, 1e9
+
+
+def likelihood_parameters(rates: DataFrame, tol: float = 1e-6, rounds: int = 100) -> DataFrame:
+    """(feature, a, b, steps): the beta distribution that makes clicks out of exposures likeliest.
+
+    A step is the fixed point of the beta-binomial likelihood, from sums over the distinct
+    pairs of clicks and exposures, which are counted once and written: its cost depends on how
+    many there are and not on the keys. All features step together, beginning at their
+    moments; after every second step the two are extrapolated, as the plain iteration
+    only creeps. A feature whose likelihood has no optimum (no clicks, only clicks, or rates
+    that are closer together than chance) ends with 0 for both.
+    """
+    spark = rates.sparkSession
+    pairs = settle(
+        rates.filter(F.col("exposures") > 0).groupBy("feature", "clicks", "exposures").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    )
+    start = smooth_rates(rates).groupBy("feature").agg(F.max("a").alias("a"), F.max("b").alias("b"))
+    # one row per feature name
+    now = {r["feature"]: (r["a"] or 1.0, r["b"] or 1.0) for r in start.collect()}
+    steps = dict.fromkeys(now, 0)
+    before: dict[str, list[tuple[float, float]]] = {f: [v] for f, v in now.items()}
+    moving = set(now)
+    for _ in range(rounds):
+        if not moving:
+            break
+        for f, new in _likelihood_step(pairs, {f: now[f] for f in moving}).items():
+            old, now[f] = now[f], new
+            steps[f] += 1
+            if not all(_LEAST < v < _MOST for v in new):
+                now[f] = (0.0, 0.0)
+                moving.discard(f)
+            elif all(abs(x - y) <= tol * y for x, y in zip(new, old)):
+                moving.discard(f)
+            else:
+                before[f].append(new)
+                if len(before[f]) == 3:
+                    now[f] = _extrapolated(*before[f])
+                    before[f] = [now[f]]
+    return spark.createDataFrame([(f, *now[f], steps[f]) for f in now], "feature string, a double, b double, steps int")
+
+
+def _likelihood_step(pairs: DataFrame, now: Mapping[str, tuple[float, float]]) -> dict[str, tuple[float, float]]:
+    a = b = F.when(F.lit(False), 0.0)
+    for feature, (x, y) in now.items():
+        a, b = a.when(F.col("feature") == feature, F.lit(x)), b.when(F.col("feature") == feature, F.lit(y))
+    clicks, shown = F.col("clicks"), F.col("exposures")
+    known = pairs.filter(F.col("feature").isin(list(now))).withColumns({"_a": a, "_b": b})
+    a, b = F.col("_a"), F.col("_b")
+    sums = known.groupBy("feature").agg(
+        F.sum(F.col("n") * (digamma(clicks + a) - digamma(a))).alias("up_a"),
+        F.sum(F.col("n") * (digamma(shown - clicks + b) - digamma(b))).alias("up_b"),
+        F.sum(F.col("n") * (digamma(shown + a + b) - digamma(a + b))).alias("down"),
+    )
+    return {
+        r["feature"]: tuple(v * r[u] / r["down"] if r["down"] > 0 else 0.0 for v, u in zip(now[r["feature"]], ("up_a", "up_b")))
+        for r in sums.collect()
+    }
+
+
+def _extrapolated(first: tuple[float, float], second: tuple[float, float], third: tuple[float, float]) -> tuple[float, float]:
+    """Where three steps lead, on the scale of logarithms; the last of them if that is too far."""
+    x = [[math.log(v) for v in p] for p in (first, second, third)]
+    gain = [b - a for a, b in zip(x[0], x[1])]
+    bend = [c - 2 * b + a for a, b, c in zip(*x)]
+    size = math.hypot(*bend)
+    if size == 0:
+        return third
+    factor = -max(1.0, math.hypot(*gain) / size)
+    ahead = [a - 2 * factor * g + factor * factor * v for a, g, v in zip(x[0], gain, bend)]
+    if max(abs(p - q) for p, q in zip(ahead, x[2])) > 2.0:
+        return third
+    return tuple(math.exp(v) for v in ahead)
+
+
+def smooth_by_likelihood(rates: DataFrame, value: str = "smoothed", tol: float = 1e-6, rounds: int = 100) -> DataFrame:
+    """``smooth_rates`` with the parameters of the greatest likelihood."""
+    known = rates.join(F.broadcast(likelihood_parameters(rates, tol, rounds).drop("steps")), "feature")
+    return known.withColumn(value, ratio(F.col("clicks") + F.col("a"), F.col("exposures") + F.col("a") + F.col("b")))
+
+
 def attach_rates(
     rows: DataFrame,
     rates: DataFrame,
@@ -103,15 +196,19 @@ def attach_rates(
     return joined.select(*rows.columns, *wanted)
 
 
-def out_of_fold_rates(samples: DataFrame, keys: Sequence[str], features: Features, folds: int = 5, seed: int = 0) -> DataFrame:
+def out_of_fold_rates(
+    samples: DataFrame, keys: Sequence[str], features: Features, folds: int = 5, seed: int = 0, own_fold: str | None = None
+) -> DataFrame:
     """Click rates that leave out the fold of the row they are looked up for.
 
     Counted per (feature, keys, fold) once; the rate seen by a fold is the total of the key
-    minus its own part.
+    minus its own part. Give training rows only, or labels of the others would leak. The
+    fold comes from the keys, or from the column ``own_fold``.
     """
     names = key_names(features)
+    number = F.col(own_fold) if own_fold else fold(keys, folds, seed)
     per_fold = (
-        keyed_rows(labelled(samples).withColumn("fold", fold(keys, folds, seed)), features, ["fold", "label"])
+        keyed_rows(labelled(samples).withColumn("fold", number), features, ["fold", "label"])
         .groupBy("feature", *names, "fold")
         .agg(F.sum("label").alias("own_clicks"), F.count(F.lit(1)).alias("own_exposures"))
     )
@@ -201,3 +298,8 @@ def widen_pairs(tables: DataFrame, features: Sequence[str], value: str = "value"
         return F.max(F.when(F.col("feature") == feature, F.col(value))).alias(feature)
 
     return tables.groupBy("uid", "aid").agg(*[cell(f) for f in features])
+
+
+def join_bucketed(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """A join of two tables bucketed alike by their keys: bucket meets bucket, nothing is moved."""
+    return left.hint("merge").join(right, list(keys), how)

@@ -10,9 +10,11 @@ from pyspark.sql.types import DoubleType
 from cohortloom.functions.binning import bin_label, cohort_bins, period_bins
 from cohortloom.operators import activity as act
 from cohortloom.operators import cohorts as co
-from cohortloom.operators.windows import DayWindow, in_window
+from cohortloom.operators import sketches
+from cohortloom.operators.windows import DayWindow, in_window, in_windows
 from cohortloom.plans import proxies
 from cohortloom.plans.proxies import EVENTS_SQL, LOGS_SQL, PROXY_ACTIONS, PROXY_PAGES
+from cohortloom.session import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -195,6 +197,22 @@ def daily_log_counts(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def window_sketches(spark, sf_dir):
+    """Distinct users and videos per window and page: exact, and whether stored sketches come near."""
+    log = proxies.user_activity(spark, sf_dir).select("user_id", "day", "page", "video_id")
+    stored = settle(sketches.daily_sketches(log, ["page"], {"users": "user_id", "videos": "video_id"}))
+    near = sketches.window_estimates(stored, ["page"], ["users", "videos"], SLIDING)
+    exact = in_windows(spark, log, "day", SLIDING).groupBy("window", "page").agg(
+        F.countDistinct("user_id").alias("n_users"), F.countDistinct("video_id").alias("n_videos")
+    )
+    bound = sketches.error_bound()
+    return exact.join(near, ["window", "page"]).select(
+        "window", "page", "n_users", "n_videos",
+        (F.abs(F.col("users") - F.col("n_users")) <= bound * F.col("n_users")).alias("users_near"),
+        (F.abs(F.col("videos") - F.col("n_videos")) <= bound * F.col("n_videos")).alias("videos_near"),
+    )
+
+
 def user_day_counts(spark, sf_dir):
     return act.user_day_counts(proxies.event_activity(spark, sf_dir))
 
@@ -341,6 +359,7 @@ QUERIES: dict[str, Query] = {
     "popularity": popularity,
     "daily_log_counts": daily_log_counts,
     "user_day_counts": user_day_counts,
+    "window_sketches": window_sketches,
     "first_activity_rows": first_activity_rows,
     "last_activity_rows": last_activity_rows,
     "first_and_last_video": first_and_last_video,
@@ -372,6 +391,10 @@ ORACLES: dict[str, str] = {
     "daily_log_counts": f"""WITH {LOGS_SQL} SELECT log, day, count(DISTINCT user_id) AS users, count(user_id) AS events
       FROM (SELECT 'launch' AS log, user_id, day FROM launch UNION ALL SELECT 'video', user_id, day FROM video
             UNION ALL SELECT 'activity', user_id, day FROM activity) GROUP BY 1, 2""",
+    "window_sketches": f"WITH {LOGS_SQL} " + " UNION ALL ".join(
+        f"""SELECT '{w.name}' AS "window", page, count(DISTINCT user_id) AS n_users, count(DISTINCT video_id) AS n_videos,
+          true AS users_near, true AS videos_near FROM activity WHERE {w.reads('day')} GROUP BY page""" for w in SLIDING
+    ),
     "user_day_counts": f"WITH {EVENTS_SQL} SELECT user_id, day, count(*) AS frequency FROM event_activity GROUP BY 1, 2",
     "first_activity_rows": _edge_sql("ASC"),
     "last_activity_rows": _edge_sql("DESC"),

@@ -208,6 +208,28 @@ def marked_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad_samples(spark, sf_dir).na.fill("-1").withColumn("is_train", mark.cast("long"))
 
 
+# What each token column of a user lists, of the lines they ordered.
+USER_TOKENS = {
+    "appidaction": "p_brand", "appidinstall": "l_partkey", "kw1": "l_suppkey", "kw2": "p_name", "kw3": "l_partkey",
+    "topic1": "p_type", "topic2": "p_size", "topic3": "l_orderkey",
+}
+
+
+def user_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per user with eight token columns: the distinct things of their lines, in order of their text."""
+    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey"), "l_orderkey")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("uid"))
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type", "p_size", "p_name")
+    bought = lines.join(orders, "l_orderkey").join(part, "l_partkey", "left")
+    long = bought.select(
+        "uid", *[F.replace(F.col(c).cast("string"), F.lit(" "), F.lit("_")).alias(f) for f, c in USER_TOKENS.items()]
+    ).unpivot(["uid"], list(USER_TOKENS), "feature", "token").filter("token IS NOT NULL").distinct()
+    listed = [
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("feature") == f, F.col("token")))), " ").alias(f) for f in USER_TOKENS
+    ]
+    return long.groupBy("uid").agg(*listed)
+
+
 def scored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label and score with many ties."""
     return table(spark, sf_dir, "lineitem").select(
@@ -251,6 +273,11 @@ samples AS (
          CAST(CASE WHEN (uid * 31 + aid * 17) % 10 < 7 THEN 1 ELSE 0 END AS BIGINT) AS is_train
   FROM ad)"""
 
+USER_TOKENS_SQL = "user_tokens AS (SELECT o_custkey AS uid, " + ", ".join(
+    f"string_agg(DISTINCT replace(CAST({c} AS VARCHAR), ' ', '_'), ' ' ORDER BY replace(CAST({c} AS VARCHAR), ' ', '_')) AS {f}"
+    for f, c in USER_TOKENS.items()
+) + """ FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey GROUP BY 1)"""
+
 DOCUMENTS_SQL = """
 docs AS (
   SELECT doc_id, text, CAST(quality AS BIGINT) AS label,

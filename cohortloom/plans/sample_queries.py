@@ -24,6 +24,7 @@ ATTRIBUTE_PAIR = {f"{u}_{a}": [u, a] for u in ("gender", "age") for a in AD_ATTR
 THREE_KEYS = {
     f"{a}_{b}": [a, b, "aid"] for a, b in encoders.pair_names(["gender", "age", "lbs", "house"])
 }
+COUNT_BUCKET = {f"{a}_interest2cnt": [a, "interest2cnt", "aid"] for a in USER_ATTRIBUTES}
 COMBOS = {
     "age_aid": ["age", "aid"],
     "gender_producttype": ["gender", "producttype"],
@@ -194,6 +195,26 @@ def _attached(features, gap=None):
     return run
 
 
+def ctr_count_bucket(spark, sf_dir):
+    """Rates by an attribute, the number of interests and the ad, looked up for every sample."""
+    df = kept_samples(spark, sf_dir).withColumn("interest2cnt", token_count(F.col("interest2")))
+    out = rates.attach_rates(df.select(*KEYS, *CATEGORIES, "interest2cnt"), rates.click_rates(df, COUNT_BUCKET), COUNT_BUCKET)
+    return rounded(out.select(*KEYS, *[f"{f}_ctr" for f in COUNT_BUCKET]))
+
+
+def out_of_fold(spark, sf_dir):
+    """Rates of training rows that leave out their own fold, per key and fold."""
+    train = kept_samples(spark, sf_dir).filter("is_train = 1")
+    train = train.withColumn("own", F.pmod(F.col("uid") * 7 + F.col("aid") * 3, F.lit(5)).cast("int"))
+    return rounded(rates.out_of_fold_rates(train, KEYS, ATTRIBUTE_PAIR, own_fold="own"))
+
+
+def ctr_likelihood(spark, sf_dir):
+    """Rates smoothed by the beta distribution of the greatest likelihood."""
+    table = rates.click_rates(samples(spark, sf_dir), ATTRIBUTE_PAIR)
+    return rounded(rates.smooth_by_likelihood(table, tol=1e-5, rounds=40), 4)
+
+
 def ctr_token_bucket(spark, sf_dir):
     """Two lookups in a row: interest text to its count bucket, bucket and ad to the rate."""
     df = kept_samples(spark, sf_dir)
@@ -334,6 +355,9 @@ QUERIES = {
     "ctr_three_keys": _attached(THREE_KEYS),
     "ctr_three_keys_table": _rates(THREE_KEYS),
     "ctr_token_bucket": ctr_token_bucket,
+    "ctr_count_bucket": ctr_count_bucket,
+    "ctr_likelihood": ctr_likelihood,
+    "out_of_fold": out_of_fold,
     "ctr_smoothed": ctr_smoothed,
     "ctr_gaps_filled": _attached(ATTRIBUTE_AD, gap=0.0),
     "ctr_tokens": ctr_tokens,
@@ -445,7 +469,7 @@ def _attached_sql(features, gap=None, source: str = "samples", extra: str = "")
     return f"SELECT uid, aid{extra}, {', '.join(wanted)} FROM {source} s {' '.join(joins)}"
 
 
-def _own_rates_sql(features, gap=None) -> str:
+def _own_rates_sql(features, gap=None, source: str = "samples") -> str:
     """Rates of the keys of each row by windows, for features counted over the same rows."""
     wanted = []
     for f, columns in features.items():
@@ -454,7 +478,7 @@ def _own_rates_sql(features, gap=None) -> str:
         rate = f"sum(label) FILTER (label <> -1) {over} / nullif(count(*) FILTER (label <> -1) {over}, 0) * 100.0"
         value = f"round(CASE WHEN {known} THEN {rate} END, 6)"
         wanted.append(f"{f'coalesce({value}, {gap})' if gap is not None else value} AS {f}_ctr")
-    return f"SELECT uid, aid, {', '.join(wanted)} FROM samples"
+    return f"SELECT uid, aid, {', '.join(wanted)} FROM {source}"
 
 
 def _auc_sql(source: str, by: str = "") -> str:
@@ -622,6 +646,17 @@ ORACLES = {
     "ctr_token_bucket": _with(f"counted AS (SELECT *, {_count_sql('interest2')} AS interest2cnt FROM samples)",
         _rates_cte({"interest2cnt": ["interest2cnt", "aid"]}, "counted")) +
         _attached_sql({"interest2cnt": ["interest2cnt", "aid"]}, source="counted", extra=", interest2cnt"),
+    "ctr_count_bucket": _with(f"counted AS (SELECT *, {_count_sql('interest2')} AS interest2cnt FROM samples)")
+        + _own_rates_sql(COUNT_BUCKET, source="counted"),
+    "out_of_fold": _with(
+        "train AS (SELECT *, CAST((uid * 7 + aid * 3) % 5 AS INTEGER) AS fold FROM samples WHERE label <> -1 AND is_train = 1)",
+        "per AS (" + _union(
+            f"""SELECT '{f}' AS feature, CAST({a} AS VARCHAR) AS key1, CAST({b} AS VARCHAR) AS key2, fold, sum(label) AS c, count(*) AS n
+              FROM train GROUP BY ALL""" for f, (a, b) in ATTRIBUTE_PAIR.items()
+        ) + ")",
+        """o AS (SELECT feature, key1, key2, fold, CAST(sum(c) OVER k - c AS BIGINT) AS clicks, CAST(sum(n) OVER k - n AS BIGINT) AS exposures
+           FROM per WINDOW k AS (PARTITION BY feature, key1, key2))""",
+    ) + "SELECT *, round(clicks / nullif(exposures, 0) * 100.0, 6) AS ctr FROM o",
     "ctr_smoothed": _with(_rates_cte({**ATTRIBUTE_AD, **ATTRIBUTE_PAIR}),
         "m AS (SELECT feature, avg(clicks / exposures) AS mean, var_samp(clicks / exposures) AS var FROM rates GROUP BY 1)",
         "s AS (SELECT feature, mean, CASE WHEN var > 0 THEN mean * (1 - mean) / var - 1 END AS strength FROM m)",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 
 def _longs(*names: str) -> list[StructField]:
@@ -20,6 +20,10 @@ APP_LAUNCH = StructType(_longs("user_id", "day"))
 VIDEO_CREATE = StructType(_longs("user_id", "day"))
 USER_ACTIVITY = StructType(_longs("user_id", "day", "page", "video_id", "author_id", "action_type"))
 
+TOKEN_IMPORTANCE = StructType([
+    StructField("feature", StringType()), StructField("feature_value", StringType()), StructField("import_value", DoubleType()),
+])
+
 # Tokens kept per column when rare ones are collapsed.
 TOKENS_KEPT = {
     "appidaction": 266,

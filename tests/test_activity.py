@@ -219,3 +219,40 @@ def test_days_and_values_past_one_mask(spark, rows):
     wide = act.activity_per_user(log, pages=list(range(130))).first()
     assert [wide[f"page{p}_video"] for p in (0, 1, 61, 62, 129)] == [1, None, 1, 1, 1]
     assert [wide[f"page{p}_day"] for p in (0, 1, 61, 62, 129)] == [1, None, 1, 1, 2]
+
+
+def test_every_log_is_read_once_whatever_the_windows(spark, tmp_path, monkeypatch):
+    """One scan of each event log in what is written, none in what is returned."""
+    logs = {
+        "register": spark.createDataFrame([(1, 2, 0, 0), (2, 9, 1, 1)], "user_id long, register_day long, register_type long, device_type long"),
+        "launch": spark.createDataFrame([(1, 3), (2, 10)], "user_id long, day long"),
+        "video": spark.createDataFrame([(1, 3), (1, 3)], "user_id long, day long"),
+        "activity": spark.createDataFrame([(1, 4, 0, 7, 8, 1)], "user_id long, day long, page long, video_id long, author_id long, action_type long"),
+    }
+    read = []
+    for name, df in logs.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        read.append(spark.read.schema(df.schema).parquet(f"{tmp_path}/{name}"))
+    written = []
+    real = act.settle
+    monkeypatch.setattr(act, "settle", lambda df: written.append(df) or real(df))
+    for window in (DayWindow(1, 23, 1), [DayWindow(1, 16, 2), DayWindow(1, 23, 1), DayWindow(1, 30, 0)]):
+        written.clear()
+        out = act.user_features(*read, window)
+        plan = "".join(df._jdf.queryExecution().executedPlan().toString() for df in (*written, out))
+        for name in ("launch", "video", "activity"):
+            assert plan.count(f"{tmp_path}/{name}]") == 1
+        assert out.count() == 2 * (1 if isinstance(window, DayWindow) else 3)
+
+
+def test_a_user_without_rows_has_no_counts(spark):
+    register = spark.createDataFrame([(1, 2, 0, 0), (2, 2, 0, 0)], "user_id long, register_day long, register_type long, device_type long")
+    launch = spark.createDataFrame([(1, 2)], "user_id long, day long")
+    video = spark.createDataFrame([], "user_id long, day long")
+    activity = spark.createDataFrame(
+        [(1, 4, None, 7, 8, None)], "user_id long, day long, page long, video_id long, author_id long, action_type long"
+    )
+    got = {r["user_id"]: r for r in act.user_features(register, launch, video, activity).collect()}
+    assert got[1]["user_page_cnt"] == 0 and got[1]["user_video_cnt"] == 1 and got[1]["video_days"] is None
+    assert got[2]["user_page_cnt"] is None and got[2]["launch_days"] is None
+    assert got[1]["launch_day_user"] == 1 and got[1]["video_day_user"] is None

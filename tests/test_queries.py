@@ -28,25 +28,15 @@ def test_entry_has_one_row_per_registrant(spark):
     assert df.count() == df.select("user_id").distinct().count() > 0
 
 
-@pytest.mark.parametrize("name", ["boosted_trees", "logistic_grid", "saved_model", "forward_selection"])
-def test_models_give_areas_under_the_curve(spark, name):
+@pytest.mark.parametrize("name", ["category_grid", "base_fits", "token_cut_fits"])
+def test_penalised_fits_learn_and_do_not_exceed_one(spark, name):
+    """No known optimum: in the training part every point must beat a guess."""
     for row in QUERIES[name](spark, SF_DIR).collect():
-        assert 0.4 < row["train_auc"] <= 1.0
-        assert 0.0 < row["valid_auc"] <= 1.0
+        assert 0.5 < row["train_auc"] < 1.0
+        assert 0.4 < row["valid_auc"] < 0.6  # the labels do not depend on the categories
 
 
-def test_cross_validation_band(spark):
-    for row in QUERIES["cross_validation"](spark, SF_DIR).collect():
-        assert row["lower"] <= row["auc_mean"] <= row["upper"]
-
-
-def test_rounds_band_has_every_round(spark):
-    rows = QUERIES["rounds_band"](spark, SF_DIR).collect()
-    assert sorted(r["round"] for r in rows) == [1, 2, 3, 4, 5]
-    assert all(0 < r["lower"] <= r["auc_mean"] <= r["upper"] <= 1.05 for r in rows)
-
-
-def test_leaves_are_one_per_tree(spark):
-    df = QUERIES["tree_leaves"](spark, SF_DIR)
-    per_row = df.groupBy("uid", "aid").count().select("count").distinct().collect()
-    assert [r["count"] for r in per_row] == [5]
+def test_stacked_categories_rank_the_training_rows_better_than_one(spark):
+    grid = {(r["alpha"], r["l1_ratio"]): r["train_auc"] for r in QUERIES["category_grid"](spark, SF_DIR).collect()}
+    single = {r["var_name"]: r["train_auc"] for r in QUERIES["single_fits"](spark, SF_DIR).collect()}
+    assert max(grid.values()) > max(single.values())

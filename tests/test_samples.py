@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -7,7 +8,8 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import dominance, joins, ordering, scalars, splitting
 from cohortloom.functions.tokens import replace_tokens, shared_tokens, token_count
-from cohortloom.operators import encoders, metrics, rates, screening, tokens
+from cohortloom.operators import encoders, metrics, rates, screening, sketches, tokens
+from cohortloom.operators.windows import DayWindow
 from cohortloom.session import shared_folder
 from cohortloom.sources import readers, schemas, writers
 
@@ -314,3 +316,71 @@ def test_headers_are_checked(spark, tmp_path):
     (tmp_path / "log").write_text("\t".join(names[::-1]) + "\n" + "\t".join("1" for _ in names) + "\n")
     with pytest.raises(Exception, match="header"):
         readers.read_log(spark, str(tmp_path / "log"), "app_launch").collect()
+
+
+# --- faulty files, buckets, sketches, likelihood --------------------------------------
+
+
+def test_rows_that_do_not_parse_are_counted_and_none_is_lost(spark, rows):
+    path = f"{shared_folder(spark)}/faulty"
+    lines = ["user_id\tday", "1\t2", "x\t3", "4", "5\t6\t7", "", "8\t", "9\t9"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    good, rejects = readers.read_checked(spark, path, schemas.APP_LAUNCH, sep="\t")
+    assert rows(good) == [(1, 2), (8, None), (9, 9)] or set(rows(good)) == {(1, 2), (8, None), (9, 9)}
+    assert rows(rejects) == [("columns", "4"), ("columns", "5\t6\t7"), ("value", "x\t3")]
+
+
+def test_bucketed_tables_are_joined_where_they_lie(spark, rows):
+    left = spark.range(200).selectExpr("id % 20 AS uid", "id AS aid", "id * 2 AS x")
+    right = spark.range(150).selectExpr("id % 20 AS uid", "id AS aid", "id * 3 AS y")
+    tables = [
+        writers.write_bucketed(df, ["uid", "aid"], 4, f"{shared_folder(spark)}/buckets-{name}")
+        for name, df in (("left", left), ("right", right))
+    ]
+    joined = rates.join_bucketed(*tables, ["uid", "aid"])
+    got = rows(joined, "uid", "aid", "x", "y")
+    assert got == rows(left.join(right, ["uid", "aid"], "left"), "uid", "aid", "x", "y")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_united_sketches_stay_within_their_bound(spark):
+    log = spark.range(60_000).selectExpr("id % 3 AS page", "id % 30 + 1 AS day", "id % 20011 AS user_id")
+    stored = sketches.daily_sketches(log, ["page"], {"users": "user_id"})
+    windows = [DayWindow(1, 23, 1), DayWindow(8, 16, 2)]
+    found = sketches.window_estimates(stored, ["page"], ["users"], windows).collect()
+    assert len(found) == 6
+    for w in windows:
+        exact = {
+            r["page"]: r["n"] for r in log.filter(w.reads("day")).groupBy("page").agg(F.countDistinct("user_id").alias("n")).collect()
+        }
+        for r in found:
+            if r["window"] == w.name:
+                assert abs(r["users"] - exact[r["page"]]) <= sketches.error_bound() * exact[r["page"]]
+
+
+@pytest.mark.parametrize("x", [0.01, 0.5, 1.0, 3.7, 60.0])
+def test_digamma_is_the_slope_of_lgamma(spark, x):
+    got = spark.range(1).select(rates.digamma(F.lit(x))).first()[0]
+    h = 1e-4 * x
+    assert got == pytest.approx((math.lgamma(x + h) - math.lgamma(x - h)) / (2 * h), abs=1e-4, rel=1e-5)
+
+
+def test_likelihood_finds_planted_parameters_and_knows_where_there_are_none(spark):
+    rng = np.random.default_rng(4)
+    shown = rng.integers(5, 60, 4000)
+    data = [("planted", int(c), int(n)) for c, n in zip(rng.binomial(shown, rng.beta(2.0, 8.0, 4000)), shown)]
+    data += [("none", 0, 9)] * 5 + [("all", 4, 4)] * 5
+    table = spark.createDataFrame(data, "feature string, clicks long, exposures long")
+    found = {r["feature"]: r for r in rates.likelihood_parameters(table).collect()}
+    assert found["planted"]["a"] == pytest.approx(2.0, rel=0.1) and found["planted"]["b"] == pytest.approx(8.0, rel=0.1)
+    assert (found["none"]["a"], found["none"]["b"]) == (found["all"]["a"], found["all"]["b"]) == (0.0, 0.0)
+
+    def likelihood(a, b):
+        def beta(x, y):
+            return math.lgamma(x) + math.lgamma(y) - math.lgamma(x + y)
+        return sum(beta(c + a, n - c + b) - beta(a, b) for _, c, n in data[:4000])
+
+    a, b = found["planted"]["a"], found["planted"]["b"]
+    assert all(likelihood(a, b) >= likelihood(a * f, b * g) for f in (0.99, 1, 1.01) for g in (0.99, 1, 1.01))
+    smoothed = {(r["feature"], r["clicks"]): r["smoothed"] for r in rates.smooth_by_likelihood(table).collect()}
+    assert smoothed["none", 0] == 0.0 and smoothed["all", 4] == 1.0
