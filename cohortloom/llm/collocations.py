@@ -53,7 +53,7 @@ SCALE = 2_000_000
 GROUP_LEAVES = 1 << 19
 MOST_GROUPS = 1 << 12
 # Tokens that are turned into arrays at once, and leaves counted before they leave a task.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 20
 FLUSH = 1 << 19
 # Words of a row of a stream, and rows that are looked at together.
 ROW_TOKENS, SLICE_ROWS = 1 << 12, 128

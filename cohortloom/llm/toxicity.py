@@ -377,24 +377,37 @@ def remainder(id_column: str) -> Column:
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, id_column: str, text_column: str, label_column: str) -> DataFrame:
-    """(doc_id, text, toxic) of the labelled documents that are not held out."""
+    """(doc_id, key, chars, toxic) of the labelled documents that are not held out; texts stay where they are."""
     named = labels.select(F.col(id_column).cast("long").alias("_id"), (F.col(label_column) > 0).cast("int").alias("toxic"))
     named = named.filter("toxic is not null").groupBy("_id").agg(F.max("toxic").alias("toxic"))
-    rows = documents.filter(remainder(id_column) != HELD_OUT).select(
-        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
+    rows = _texts(documents, id_column, text_column).select("doc_id", "key", F.length("text").alias("chars"))
+    return rows.join(named, rows["doc_id"] == F.col("_id")).select("doc_id", "key", "chars", "toxic")
+
+
+def _texts(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(doc_id, text, key) of the documents that may be learned from; the key is a hash of the text."""
+    return documents.filter(remainder(id_column) != HELD_OUT).select(
+        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.xxhash64(text_column).alias("key")
     )
-    return rows.join(named, rows["doc_id"] == F.col("_id")).select("doc_id", "text", "toxic")
 
 
-def fit(rows: DataFrame, per_label: int = PER_LABEL, longest: int = LONGEST) -> tuple[bytes | None, float]:
-    """Trained weights as bytes (None if a label is missing), and the log odds of a toxic row."""
+def fit(rows: DataFrame, texts: DataFrame, per_label: int = PER_LABEL, longest: int = LONGEST) -> tuple[bytes | None, float]:
+    """Trained weights as bytes (None if a label is missing), and the log odds of a toxic row.
+
+    ``rows`` has no texts: at most ``per_label`` rows of each label are chosen by a hash of
+    their id, sent to the tasks, and only their texts are read.
+    """
     n, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     prior = float(np.log((toxic + 0.5) / (n - toxic + 0.5)))
-    able = rows.filter(F.length("text") <= longest)
+    able = rows.filter(F.col("chars") <= longest).select("doc_id", "key", "toxic").distinct()
     place = F.md5(F.col("doc_id").cast("string"))
-    chosen = able.filter("toxic = 1").orderBy(place, "text").limit(per_label).unionByName(
-        able.filter("toxic = 0").orderBy(place, "text").limit(per_label)
+    picked = able.filter("toxic = 1").orderBy(place, "key").limit(per_label).unionByName(
+        able.filter("toxic = 0").orderBy(place, "key").limit(per_label)
     )
+    # at most 2 * per_label rows of three numbers
+    picked = rows.sparkSession.createDataFrame(picked.collect(), picked.schema)
+    met = texts.join(F.broadcast(picked), ["doc_id", "key"]).groupBy("doc_id", "key").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic"))
+    chosen = met.select("doc_id", "text", "toxic")
     schema = "weights binary, n long, toxic long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -427,7 +440,8 @@ def toxicity(
 ) -> DataFrame:
     """(doc_id, held_out, score, predicted), one row per document."""
     spark = documents.sparkSession
-    weights, shift = fit(training_rows(documents, labels, id_column, text_column, label_column), per_label, longest)
+    rows = training_rows(documents, labels, id_column, text_column, label_column)
+    weights, shift = fit(rows, _texts(documents, id_column, text_column), per_label, longest)
     sent = spark.sparkContext.broadcast(weights)
     schema = "doc_id long, held_out boolean, score double, predicted int"
     kinds = arrow_types(spark, schema)
