@@ -3,10 +3,10 @@
 A suffix is what follows a word inside its piece of text, cut after four words. The tree of
 all suffixes is never whole anywhere (vertical partitioning):
 
-1. Words are counted, and texts written as streams of word hashes in which rare words are 0.
-   A phrase of 30 occurrences has only words, pairs and triples of 30 occurrences, so a suffix
-   ends before the first one that a Bloom filter of the frequent ones does not hold. The
-   filters have a fixed size; what they let through by chance costs time, not correctness.
+1. Words are counted. A phrase of 30 occurrences has frequent words and frequent pairs only, so
+   a suffix ends before the first word, or pair, that a Bloom filter of the frequent ones
+   does not hold. The filters have a fixed size; what they let through by chance costs time,
+   not correctness.
 2. Suffixes are counted where they are read and written as a table of leaves. Prefixes with
    more leaves than the memory budget of a group are made one word longer, level by level;
    there are at most leaves / budget of them per level, and the budget is at least 1/4096
@@ -35,7 +35,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -53,10 +52,10 @@ SCALE = 2_000_000
 GROUP_LEAVES = 1 << 19
 MOST_GROUPS = 1 << 12
 # Tokens that are turned into arrays at once, and leaves counted before they leave a task.
-SLICE_BYTES = 1 << 20
-FLUSH = 1 << 19
-# Words of a row of a stream, and rows that are looked at together.
-ROW_TOKENS, SLICE_ROWS = 1 << 12, 128
+SLICE_BYTES = 1 << 22
+FLUSH = 1 << 20
+# Words of the longest runs that are counted beforehand, so that suffixes end before rare ones.
+PRUNED = 2
 # Words a task counts before it passes them on, and hashes it remembers.
 MEMORY = 1 << 17
 
@@ -154,33 +153,6 @@ def gram_keys(lang: str, words: list[np.ndarray]) -> np.ndarray:
         return scramble(key ^ lang_seed(lang))
 
 
-def streams(docs: DataFrame, seed: int, frequent: Bloom) -> DataFrame:
-    """(lang, words): texts one behind the other; 0 for a rare word, which no phrase crosses, and for an end."""
-    schema = "lang string, words array<long>"
-    kinds = arrow_types(docs.sparkSession, schema)
-    shared = frequent.sent
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(shared.value, np.uint8)
-        hashes = WordHashes(seed)
-        for batch in batches:
-            for lang, found in _by_lang(batch):
-                words = hashes.array(found)
-                rare = (words == 0) | ~hit(bits, scramble(words ^ lang_seed(lang)))
-                words[rare] = 0
-                # a run of zeros says no more than one
-                words = words[~(rare & np.concatenate([[False], rare[:-1]]))]
-                # short rows, cut behind a zero only: readers hold thousands of them at a time
-                zeros = np.flatnonzero(words == 0) + 1
-                at = np.searchsorted(zeros, np.arange(ROW_TOKENS, len(words), ROW_TOKENS))
-                ends = np.unique(np.concatenate([[0], zeros[at[at < len(zeros)]], [len(words)]]))
-                listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words.view(np.int64)))
-                columns = [pa.array([lang] * len(listed), kinds["lang"]), listed.cast(kinds["words"])]
-                yield pa.RecordBatch.from_arrays(columns, names=list(kinds))
-
-    return _texts(docs).mapInArrow(run, schema)
-
-
 def counted_rows(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Equal rows (columns are words) added up; equal ones may stay apart, unequal ones never meet."""
     if not len(n):
@@ -208,20 +180,13 @@ def _linked(lang: str, words: np.ndarray, bits: list[np.ndarray]) -> list[np.nda
     return linked
 
 
-def _streams_of(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
-    """Rows of one language behind one another, some hundred thousand words at a time."""
-    for start in range(0, batch.num_rows, SLICE_ROWS):
-        part = batch.slice(start, SLICE_ROWS)
-        for lang in part.column(0).unique():
-            mine = part.column(1).filter(pc.equal(part.column(0), lang))
-            words = mine.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            yield lang.as_py(), np.concatenate([words, np.zeros(1, np.uint64)])
-
+def _sums(docs: DataFrame, seed: int, schema: str, rows_of, frequent: Bloom, filters: list[Bloom]) -> DataFrame:
+    """Rows that ``rows_of(lang, words, filters)`` finds, counted per language within a task.
 
-def _sums(streamed: DataFrame, schema: str, rows_of, sent: list[Bloom]) -> DataFrame:
-    """Rows that ``rows_of(lang, words, filters)`` finds, counted per language within a task."""
-    kinds = arrow_types(streamed.sparkSession, schema)
-    shared = [b.sent for b in sent]
+    Words that are not frequent are 0 there, like the ends of pieces: no phrase crosses them.
+    """
+    kinds = arrow_types(docs.sparkSession, schema)
+    shared = [b.sent for b in (frequent, *filters)]
     with_lang = "lang" in kinds
 
     def batch_of(lang: str, parts: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
@@ -231,12 +196,15 @@ def _sums(streamed: DataFrame, schema: str, rows_of, sent: list[Bloom]) -> DataF
         return pa.RecordBatch.from_arrays(columns, names=list(kinds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = [np.frombuffer(s.value, np.uint8) for s in shared]
+        known, *bits = [np.frombuffer(s.value, np.uint8) for s in shared]
+        hashes = WordHashes(seed)
         parts: dict[str, list[np.ndarray]] = {}
         counts: dict[str, list[np.ndarray]] = {}
         held = 0
         for batch in batches:
-            for lang, words in _streams_of(batch):
+            for lang, found in _by_lang(batch):
+                words = hashes.array(found)
+                words[(words != 0) & ~hit(known, scramble(words ^ lang_seed(lang)))] = 0
                 rows, n = counted_rows(*rows_of(lang, words, bits))
                 if len(n):
                     parts.setdefault(lang, []).append(rows)
@@ -249,10 +217,10 @@ def _sums(streamed: DataFrame, schema: str, rows_of, sent: list[Bloom]) -> DataF
         for lang in parts:
             yield batch_of(lang, parts[lang], counts[lang])
 
-    return streamed.mapInArrow(run, schema)
+    return _texts(docs).mapInArrow(run, schema)
 
 
-def gram_counts(streamed: DataFrame, shorter: list[Bloom]) -> DataFrame:
+def gram_counts(docs: DataFrame, seed: int, frequent: Bloom, shorter: list[Bloom]) -> DataFrame:
     """(gram, n): runs of one word more than ``shorter`` knows, counted by a hash in part."""
 
     def rows_of(lang: str, words: np.ndarray, bits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -261,10 +229,10 @@ def gram_counts(streamed: DataFrame, shorter: list[Bloom]) -> DataFrame:
         keys = gram_keys(lang, [words[at + j] for j in range(len(bits) + 2)])
         return keys[None, :], np.ones(len(keys), np.int64)
 
-    return _sums(streamed, "gram long, n long", rows_of, shorter)
+    return _sums(docs, seed, "gram long, n long", rows_of, frequent, shorter)
 
 
-def leaves(streamed: DataFrame, filters: list[Bloom]) -> DataFrame:
+def leaves(docs: DataFrame, seed: int, frequent: Bloom, filters: list[Bloom]) -> DataFrame:
     """(lang, w1..w4, n): suffixes cut after four words or before a rare run; 0 for no word."""
 
     def rows_of(lang: str, words: np.ndarray, bits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -278,7 +246,7 @@ def leaves(streamed: DataFrame, filters: list[Bloom]) -> DataFrame:
             rows.append(np.where(going, padded[starts + k], 0).astype(np.uint64))
         return np.array(rows), np.ones(len(starts), np.int64)
 
-    return _sums(streamed, LEAVES, rows_of, filters)
+    return _sums(docs, seed, LEAVES, rows_of, frequent, filters)
 
 
 def _words_of(depth: int) -> list[str]:
@@ -409,13 +377,11 @@ def phrase_counts(docs: DataFrame, keep: Written, least: int = LEAST, group_leav
         keep.drop(words)
         seed += 1
     word_filter = Bloom(_word_keys(words.filter(F.col("n") >= least)), "key")
-    streamed = keep(streams(docs, seed, word_filter))
     filters: list[Bloom] = []
-    for _ in range(2, DEPTH):
-        grams = gram_counts(streamed, filters).groupBy("gram").agg(F.sum("n").alias("n"))
+    for _ in range(2, PRUNED + 1):
+        grams = gram_counts(docs, seed, word_filter, filters).groupBy("gram").agg(F.sum("n").alias("n"))
         filters.append(Bloom(grams.filter(F.col("n") >= least), "gram"))
-    leaf_rows = keep(leaves(streamed, filters))
-    keep.drop(streamed)
+    leaf_rows = keep(leaves(docs, seed, word_filter, filters))
     n_leaves = leaf_rows.count()
     budget = max(group_leaves, -(-n_leaves // MOST_GROUPS))
     over = trunks(leaf_rows, budget)

@@ -226,6 +226,9 @@ def leaks(
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, **settings: float) -> DataFrame:
     """The documents without a leak, all columns kept."""
-    found = leaks(documents, benchmark, **settings).select("doc_id").distinct()
-    named = found.select(F.col("doc_id").alias("_leaked"))
-    return documents.join(named, documents["doc_id"].cast("long") == F.col("_leaked"), "left_anti")
+    found = leaks(documents, benchmark, **settings).select(F.col("doc_id").alias("leaked_id")).distinct()
+    # a row travels as one struct: no column of the table can clash
+    rows = documents.select(
+        F.struct(*[F.col(f"`{n}`") for n in documents.columns]).alias("row"), F.col("doc_id").cast("long").alias("id")
+    )
+    return rows.join(found, F.col("id") == F.col("leaked_id"), "left_anti").select("row.*")

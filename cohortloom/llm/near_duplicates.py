@@ -293,13 +293,17 @@ def connected(members: DataFrame, texts: DataFrame, idf: Broadcast, least: float
 def one_of_each(documents: DataFrame, **settings: float) -> DataFrame:
     """The documents with one of each class: that with the smallest id (then text), all columns kept."""
     options = {"least": SIMILAR, "bands": BANDS, "rows": ROWS, "buckets": BUCKETS} | settings
-    names = documents.columns
     keep = Written(documents.sparkSession)
     classes, _ = text_classes(documents, "doc_id", "text", **options)
     slim = documents.select(F.col("doc_id").cast("long").alias("id"), digest("text", "doc_id").alias("digest"))
     best = slim.join(classes, "digest").groupBy("root").agg(F.min(F.struct("id", "digest")).alias("best"))
-    # equal rows of the kept document: all but one go
-    chosen = keep(best.select(F.col("best.id").alias("_id"), F.col("best.digest").alias("_digest")))
-    rows = documents.withColumn("_own", digest("text", "doc_id"))
-    same = rows["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest"))
-    return rows.join(chosen, same).dropDuplicates(["_id", "_digest"]).select(*[F.col(f"`{n}`") for n in names])
+    chosen = keep(best.select(F.col("best.id").alias("kept_id"), F.col("best.digest").alias("kept_digest")))
+    # a row travels as one struct: no column of the table can clash
+    hashed = [F.col(f"`{f.name}`") for f in documents.schema if "map<" not in f.dataType.simpleString()]
+    rows = documents.select(
+        F.struct(*[F.col(f"`{n}`") for n in documents.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("id"), digest("text", "doc_id").alias("digest"), F.xxhash64(*hashed).alias("tie"),
+    )
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest"))
+    # of rows with the same id and text the one with the smallest hash of all its columns stays
+    return rows.join(chosen, same).groupBy("kept_id", "kept_digest").agg(F.min_by("row", "tie").alias("row")).select("row.*")

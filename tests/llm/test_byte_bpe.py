@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -90,3 +91,15 @@ def test_query_equals_the_plain_tokenizer(spark):
         plain = " ".join(map(str, ids)).encode()
         assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), hashlib.sha256(plain).hexdigest())
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_slices_cover_a_batch_in_order(codec, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "SLICE", 6)
+    texts = ["abc", None, "", "a longer text than a slice", "x", "yz"]
+    batch = pa.record_batch([pa.array(range(6)), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(byte_bpe.slices(batch))
+    assert len(parts) > 2 and [t for p in parts for t in p.column(1).to_pylist()] == texts
+    (ids,) = codec.encode_column(batch.column(1))
+    encoded = pa.record_batch([pa.array(range(6)), ids], names=["doc_id", "ids"])
+    back = [d for p in byte_bpe.slices(encoded) for d in codec.decode_column(p.column(1))[1].to_pylist()]
+    assert back == [(t or "").encode() for t in texts]

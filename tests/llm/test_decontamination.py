@@ -1,5 +1,7 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 from cohortloom.llm import decontamination
 
 SCHEMA = "item_id long, text string, hash string, slots string"
@@ -50,6 +52,8 @@ def test_placeholders_alone_match_nothing(found):
 def test_stage_and_empty_tables(spark, documents):
     benchmark = spark.createDataFrame([(1, OTHER, None, None)], SCHEMA)
     df = documents([(1, OTHER), (2, PLAIN), (None, PLAIN), (3, None), (2, PLAIN)])
+    for name in ("_leaked", "leaked_id", "id", "row"):
+        df = df.withColumn(name, F.lit(1))
     kept = decontamination.without_leaks(df, benchmark)
     assert kept.columns == df.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "2", "3", "None"]

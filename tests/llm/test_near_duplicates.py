@@ -2,6 +2,8 @@ import random
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from cohortloom.llm import near_duplicates as nd
 from cohortloom.llm.groups import components
 
@@ -119,3 +121,15 @@ def test_components(spark):
         lo, hi = sorted((find(a), find(b)))
         root[hi] = lo
     assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
+
+
+def test_one_of_each_with_clashing_columns_and_equal_rows(spark, documents):
+    text = " ".join(f"w{i}" for i in range(40))
+    names = ["_id", "_own", "_digest", "id", "row", "tie", "kept_id", "root", "best"]
+    df = documents([(1, text), (1, text), (2, text + " x"), (3, None)])
+    df = df.select("*", *[F.lit(1).alias(n) for n in names]).withColumn("other", F.monotonically_increasing_id() % 2)
+    kept = nd.one_of_each(df)
+    assert kept.columns == df.columns
+    first = sorted(map(str, kept.collect()))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+    assert sorted(map(str, nd.one_of_each(df.repartition(5)).collect())) == first
