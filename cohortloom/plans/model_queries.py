@@ -294,7 +294,7 @@ ORACLES = {
       SELECT alpha, l1_ratio, CASE WHEN alpha = 0 THEN AUC_0 ELSE 0.5 END AS train_auc, CASE WHEN alpha = 0 THEN AUC_1 ELSE 0.5 END AS valid_auc
       FROM a, (VALUES (CAST(0 AS DOUBLE), CAST(0.07 AS DOUBLE)), (0, 1), (100, 0.07), (100, 1)) AS v(alpha, l1_ratio)""",
     "score_as_feature": _LABELLED + """SELECT uid, aid, label,
-      round(avg(label) FILTER (is_train = 1) OVER (PARTITION BY age), 4) AS lr_score FROM samples WHERE label <> -1""",
+      round(round(avg(label) FILTER (is_train = 1) OVER (PARTITION BY age), 6), 4) AS lr_score FROM samples WHERE label <> -1""",
     "tree_leaves": _LABELLED + f"""SELECT 'tree' || (t - 1) AS feature, n_rows
       FROM (SELECT gender, count(*) AS n_rows FROM samples WHERE label <> -1 GROUP BY 1), generate_series(1, {TREES['rounds']}) AS g(t)""",
     "single_fits": f"""WITH {_rate_fits({c: [c] for c in CATEGORIES})}
@@ -305,7 +305,7 @@ ORACLES = {
       f AS (SELECT step, var_name, max(var_name) OVER (ORDER BY step) AS finest FROM r)
       SELECT CAST(step AS INTEGER) AS step, f.var_name, AUC_0 AS train_auc, AUC_1 AS valid_auc
       FROM f JOIN a ON a.var_name = finest""",
-    "saved_model": _LABELLED + """SELECT creativesize, round(avg(label) FILTER (is_train = 1), 4) AS score, count(*) AS n_rows
+    "saved_model": _LABELLED + """SELECT creativesize, round(round(avg(label) FILTER (is_train = 1), 6), 4) AS score, count(*) AS n_rows
       FROM samples WHERE label <> -1 GROUP BY 1""",
     "numeric_matrix": _LABELLED + f""", t AS (SELECT uid, aid, {_BRAND} AS brand, CASE WHEN interest2 <> '-1' THEN length(interest2) END AS length,
         string_split(lower(interest2), ' ') AS w FROM samples)

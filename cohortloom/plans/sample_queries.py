@@ -549,14 +549,14 @@ def _cut_sql(cte: str, source: str, column: str) -> str:
 
 
 def _cut_curve_sql(cte: str, source: str, column: str) -> str:
-    """Every cut from the one before it: all pairs of tokens are met once, none is grouped per cut."""
+    """Every cut from the one before it: running counts per distinct score, at every rank."""
 
     def below(weight: str, score: str) -> str:
-        return f"sum(j.{weight} * CASE WHEN j.s < i.{score} THEN 1 WHEN j.s = i.{score} THEN 0.5 ELSE 0 END)"
+        return f"sum({weight} * CASE WHEN score < {score} THEN 1 WHEN score = {score} THEN 0.5 ELSE 0 END)"
 
-    sums = ", ".join(
-        f"{below(w, score)} AS {w}_{score}" for w in ("tp", "tn", "vp", "vn") for score in ("s", "b")
-    )
+    four = ("tp", "tn", "vp", "vn")
+    sums = ", ".join(f"{below(w, score)} AS {w}_{score}" for w in four for score in ("s", "b"))
+    grown = ", ".join(f"sum(CASE WHEN s = score THEN {w} ELSE 0 END) OVER (PARTITION BY score ORDER BY pos) AS {w}" for w in four)
     rest = {w: f"(sum({w}) OVER () - sum({w}) OVER (ORDER BY pos))" for w in ("tp", "tn", "vp", "vn")}
     left = ", ".join(f"CAST({e} AS DOUBLE) AS {w}_left" for w, e in rest.items())
 
@@ -571,7 +571,8 @@ def _cut_curve_sql(cte: str, source: str, column: str) -> str:
             FROM t WHERE token <> '-1' GROUP BY token),
       r AS (SELECT *, CASE WHEN tp + tn > 0 THEN tp / (tp + tn) ELSE 0 END AS s, {left}, {whole} FROM k),
       q AS (SELECT *, CASE WHEN tp_left + tn_left > 0 THEN tp_left / (tp_left + tn_left) ELSE 0 END AS b FROM r),
-      d AS (SELECT i.pos, {sums} FROM q i JOIN q j ON j.pos <= i.pos GROUP BY i.pos)
+      g AS (SELECT pos, s, b, score, {grown} FROM q, (SELECT DISTINCT s AS score FROM q)),
+      d AS (SELECT pos, {sums} FROM g GROUP BY pos)
       SELECT CAST(pos AS BIGINT) AS kept, CAST(pos AS BIGINT) + 1 AS cut_num,
         round(1 - (tp_left + tn_left + vp_left + vn_left) / (all_tp + all_tn + all_vp + all_vn), 6) AS coverage,
         {area('tp', 'tn')} AS AUC_0, {area('vp', 'vn')} AS AUC_1
