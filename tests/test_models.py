@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.functions import joins, scalars
-from cohortloom.operators import boosting, models, rates
+from cohortloom.operators import boosting, design, models, rates
 from cohortloom.operators.design import Encoder
 from cohortloom.session import shared_folder
 
@@ -202,3 +202,66 @@ def test_column_moves_and_renames(spark):
     assert scalars.place_columns(df, "c", 1).columns == ["a", "c", "b"]
     assert scalars.rename_all(df, lambda c: f"p{c}", keep=["a"]).columns == ["a", "pb", "pc"]
     assert df.select(scalars.recode(F.col("a"), 1, 0)).first()[0] == 0
+
+
+# --- rows that are alike ----------------------------------------------------------------
+
+
+def matrix_of_levels(spark, n=600):
+    df = labelled(spark, n)
+    return models.design_matrix(["a"]).fit(df).transform(df)
+
+
+def test_fits_read_rows_that_are_alike_once(spark, monkeypatch):
+    """What a fit is given grows with the kinds of rows, not with the rows."""
+    given = []
+    monkeypatch.setattr(models, "counted", lambda *a: given.append(design.counted(*a)) or given[-1])
+    monkeypatch.setattr(boosting, "counted", lambda *a: given.append(design.counted(*a)) or given[-1])
+    for n in (600, 1200):
+        df = labelled(spark, n)
+        matrix = matrix_of_levels(spark, n)
+        boosting.boost(matrix, rounds=1, patience=9, min_rows=1)
+        models.grid_search(matrix, lambda alpha: models.logistic_alpha(alpha, 5), {"alpha": [0.1]})
+        models.single_additions(df, [], ["a"], lambda: models.logistic_alpha(0.1, 5))
+        folds = matrix.withColumn("fold", F.col("is_train"))
+        models.rounds_band(folds, models.boosted_trees(2, 0.1, 2, 1), 2)
+        models.cross_validate(folds, lambda alpha: models.logistic_alpha(alpha, 5), {"alpha": [0.1]}, 2)
+        models.fit_and_score(df, models.design_matrix(["a"]), models.logistic_alpha(0.1, 5))
+    assert len(given) == 12 and all(df.count() <= 7 * 2 * 2 for df in given)
+    assert [df.agg(F.sum(design.ROWS)).first()[0] for df in given] == [600] * 6 + [1200] * 6
+
+
+def test_weighed_boosting_equals_row_by_row(spark, monkeypatch):
+    matrix = matrix_of_levels(spark)
+    results = []
+    for few in (0, 10_000):
+        monkeypatch.setattr(boosting, "counted", lambda m, few=few: design.counted(m, few))
+        results.append(boosting.boost(matrix, rounds=4, patience=9, rate=0.3, depth=3, min_rows=40).areas)
+    assert len(results[0]) == 4 and [a[1:] for a in results[0]] == [pytest.approx(a[1:]) for a in results[1]]
+
+
+def test_weighed_bands_and_grids_equal_row_by_row(spark, rows, monkeypatch):
+    # rates that lie apart: where two splits gain the same, the last bits would choose
+    data = [(f"l{i % 5}", int((i // 5 * 37) % 100 < 11 + (i % 5) ** 2 * 4), i % 2, i // 5 % 2) for i in range(1000)]
+    df = spark.createDataFrame(data, "a string, label int, is_train int, fold int")
+    matrix = models.design_matrix(["a"]).fit(df).transform(df)
+    results = []
+    for few in (0, 10_000):
+        monkeypatch.setattr(models, "counted", lambda m, _=0, few=few: design.counted(m, few))
+        band = models.rounds_band(matrix, models.boosted_trees(3, 0.3, 3, 1), 2)
+        grid = models.grid_search(matrix, lambda alpha: models.logistic_alpha(alpha, 50, tol=1e-9), {"alpha": [0.01]})
+        results.append(rows(band.select(*[F.round(c, 6) for c in band.columns])) + rows(grid.select(*[F.round(c, 6) for c in grid.columns])))
+    assert results[0] == results[1]
+
+
+def test_leaves_keep_their_least_number_of_rows(spark):
+    """Rows are counted, not kinds: with more than half of them in a leaf no tree splits."""
+    matrix = matrix_of_levels(spark, 300)
+    model = boosting.boost(matrix, rounds=2, patience=9, min_rows=150)
+    assert all(t.numNodes == 1 for t in model.trees)
+    assert any(t.numNodes > 1 for t in boosting.boost(matrix, rounds=2, patience=9, min_rows=20).trees)
+
+
+def test_many_kinds_of_rows_stay_as_they_are(spark):
+    df = spark.range(50).select(F.col("id").alias("label"), (F.col("id") % 2).alias("is_train"))
+    assert design.counted(df, 10).filter(F.col(design.ROWS) == 1).count() == 50
