@@ -215,8 +215,9 @@ def matrix_of_levels(spark, n=600):
 def test_fits_read_rows_that_are_alike_once(spark, monkeypatch):
     """What a fit is given grows with the kinds of rows, not with the rows."""
     given = []
-    monkeypatch.setattr(models, "counted", lambda *a: given.append(design.counted(*a)) or given[-1])
-    monkeypatch.setattr(boosting, "counted", lambda *a: given.append(design.counted(*a)) or given[-1])
+    monkeypatch.setattr(models, "PARTS", 20)
+    for module in (models, boosting):
+        monkeypatch.setattr(module, "counted", lambda *a, **k: given.append(design.counted(*a, **k)) or given[-1])
     for n in (600, 1200):
         df = labelled(spark, n)
         matrix = matrix_of_levels(spark, n)
@@ -227,7 +228,7 @@ def test_fits_read_rows_that_are_alike_once(spark, monkeypatch):
         models.rounds_band(folds, models.boosted_trees(2, 0.1, 2, 1), 2)
         models.cross_validate(folds, lambda alpha: models.logistic_alpha(alpha, 5), {"alpha": [0.1]}, 2)
         models.fit_and_score(df, models.design_matrix(["a"]), models.logistic_alpha(0.1, 5))
-    assert len(given) == 12 and all(df.count() <= 7 * 2 * 2 for df in given)
+    assert len(given) == 12 and all(df.count() <= 7 * 2 * 2 + 20 for df in given)
     assert [df.agg(F.sum(design.ROWS)).first()[0] for df in given] == [600] * 6 + [1200] * 6
 
 
@@ -247,7 +248,7 @@ def test_weighed_bands_and_grids_equal_row_by_row(spark, rows, monkeypatch):
     matrix = models.design_matrix(["a"]).fit(df).transform(df)
     results = []
     for few in (0, 10_000):
-        monkeypatch.setattr(models, "counted", lambda m, _=0, few=few: design.counted(m, few))
+        monkeypatch.setattr(models, "counted", lambda m, _=0, few=few, parts=None: design.counted(m, few, parts))
         band = models.rounds_band(matrix, models.boosted_trees(3, 0.3, 3, 1), 2)
         grid = models.grid_search(matrix, lambda alpha: models.logistic_alpha(alpha, 50, tol=1e-9), {"alpha": [0.01]})
         results.append(rows(band.select(*[F.round(c, 6) for c in band.columns])) + rows(grid.select(*[F.round(c, 6) for c in grid.columns])))
@@ -265,3 +266,10 @@ def test_leaves_keep_their_least_number_of_rows(spark):
 def test_many_kinds_of_rows_stay_as_they_are(spark):
     df = spark.range(50).select(F.col("id").alias("label"), (F.col("id") % 2).alias("is_train"))
     assert design.counted(df, 10).filter(F.col(design.ROWS) == 1).count() == 50
+
+
+def test_a_kind_of_rows_is_dealt_over_parts(spark):
+    df = spark.range(1000).select((F.col("id") % 10 == 0).alias("label"))
+    found = design.counted(df, parts=50).groupBy("label").agg(F.sum(design.ROWS).alias("n"), F.max(design.ROWS).alias("most"))
+    assert sorted(map(tuple, found.collect())) == [(False, 900, 20), (True, 100, 20)]
+    assert design.counted(df, parts=5000).count() == 1000
