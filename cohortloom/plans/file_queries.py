@@ -11,7 +11,7 @@ from cohortloom.operators import encoders, models, rates, tokens
 from cohortloom.plans import proxies
 from cohortloom.plans.activity_queries import rounded
 from cohortloom.plans.proxies import CATEGORIES, LOGS_SQL, TOKEN_COLUMNS, USER_ATTRIBUTES
-from cohortloom.plans.sample_queries import ATTRIBUTE_AD, COMBOS, ORACLES as SAMPLE_ORACLES, samples
+from cohortloom.plans.sample_queries import ATTRIBUTE_AD, COMBOS, ORACLES as SAMPLE_ORACLES, kept_samples, samples
 from cohortloom.session import run_folder, settle
 from cohortloom.sources import readers, schemas, writers
 
@@ -139,7 +139,7 @@ def key_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 def saved_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse rows written and read; their non-zero cells and the sum of them."""
     path = scratch(spark, "matrix")
-    df = samples(spark, sf_dir)
+    df = kept_samples(spark, sf_dir)
     blocks = models.design_matrix(categories=USER_ATTRIBUTES, tokens=["interest1"])
     writers.write_matrix(blocks.fit(df).transform(df).select("uid", "aid", "features"), path)
     # a stored vector is a struct; read as one, a sparse row stays as short as it is

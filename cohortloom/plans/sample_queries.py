@@ -167,8 +167,8 @@ def feature_dictionary(spark, sf_dir):
 def design_rows(spark, sf_dir):
     """All blocks side by side as (uid, aid, column, value)."""
     df = kept_samples(spark, sf_dir)
-    codes = encoders.fit_codes(df, USER_ATTRIBUTES)
-    vocabulary = encoders.fit_vocabulary(df, TOKEN_COLUMNS)
+    codes = settle(encoders.fit_codes(df, USER_ATTRIBUTES))
+    vocabulary = settle(encoders.fit_vocabulary(df, TOKEN_COLUMNS))
     blocks = encoders.one_hot_rows(encoders.encode(df, codes, USER_ATTRIBUTES), KEYS, USER_ATTRIBUTES)
     blocks = blocks.unionByName(encoders.token_count_rows(df, KEYS, TOKEN_COLUMNS, vocabulary))
     sizes = encoders.widths(codes.unionByName(vocabulary))
