@@ -2,8 +2,9 @@
 
 The three event logs are read once and reduced together to rows (user, kind, thing): every log
 row stands for its day, and a row of the activity log also for its page, action, page-action
-pair, video and author. Grouping by all three columns is combined map-side, so a user or
-page that holds a third of the log is spread over all tasks. A row keeps one state per day
+pair, video and author. Log rows are moved by their user before they are multiplied; a user
+of a million rows or more is grouped by all three columns, combined map-side, and so
+spread over all tasks. A row keeps one state per day
 window (how often, on which pages, by which actions), so many windows cost no more rows than
 one. The reduced table is written; the columns of every user and the series per day are two
 aggregates over it, and nothing goes back to the logs.
@@ -193,6 +194,11 @@ _LOW = 0xFFFFFFFF
 
 # Values held by one mask.
 _BITS = 62
+# Users are counted in this many slots; one with more rows than HOT_ROWS holds a hot user.
+_SLOTS = 1 << 16
+HOT_ROWS = 1_000_000
+# Log rows of a part that holds whole users.
+PART_ROWS = 250_000
 
 
 def _masks(column: str, name: str, values: Sequence[int]) -> dict[str, str]:
@@ -212,13 +218,17 @@ def _number(condition: str) -> str:
 def _marked(
     log: DataFrame, keys: Sequence[str], kinds: dict[str, str], masks: dict[str, str]
 ) -> DataFrame:
-    """(keys, _day, masks, kind, thing): a row per kind of thing that a log row stands for."""
+    """(keys, _day, masks, kind, thing): a row per kind of thing that a log row stands for.
+
+    Generated, not unpivoted: rows stay known to be parted by their keys.
+    """
     marked = log.selectExpr(
         *[f"`{k}`" for k in keys], "day AS _day",
         *[f"{bits} AS {name}" for name, bits in masks.items()],
-        *[f"{value} AS {kind}" for kind, value in kinds.items()],
+        *[f"{value} AS `_thing_{kind}`" for kind, value in kinds.items()],
     )
-    long = marked.unpivot([*keys, "_day", *masks], list(kinds), "kind", "thing")
+    things = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(f"_thing_{kind}").alias("thing")) for kind in kinds])
+    long = marked.select(*keys, "_day", *masks, F.inline(things))
     return long.filter(F.col("thing").isNotNull())
 
 
@@ -256,6 +266,18 @@ def activity_things(
     )
 
 
+def _raw_rows(launch: DataFrame | None, video: DataFrame | None, activity: DataFrame | None, parts: Sequence[str]) -> DataFrame:
+    """Rows of all logs side by side: the log they are of, user, day and what an activity row needs."""
+    rows = []
+    for log, kind in ((launch, _LAUNCHED), (video, _FILMED)):
+        if log is not None:
+            rows.append(log.select(F.lit(kind).alias("_log"), "user_id", "day"))
+    if activity is not None:
+        used = [c for c in ("page", "action_type", "video_id", "author_id") if any(c in v for v in _activity_kinds(parts).values())]
+        rows.append(activity.select(F.lit(_DAY).alias("_log"), "user_id", "day", *used))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+
+
 def log_things(
     launch: DataFrame | None,
     video: DataFrame | None,
@@ -264,28 +286,38 @@ def log_things(
     pages: Sequence[int] = PAGES,
     actions: Sequence[int] = ACTIONS,
     parts: Sequence[str] = _FAMILIES,
+    hot_rows: int = HOT_ROWS,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """(window, user_id, kind, thing, frequency, masks) of all logs, each read once.
 
+    Log rows are written once and moved by their user, before they stand for anything: one row
+    is moved where six would be, and a user's things come to lie together. A part has
+    about ``part_rows`` rows. Users in a slot of more than ``hot_rows`` rows are grouped by
+    (user, kind, thing) instead, combined map-side, so no user's log lands in one task.
     Rows are grouped once, whatever the number of windows: a group has one state per window,
     and leaves as one row for each window that saw it. Days come out shifted.
     """
     masks = _value_masks(parts, pages, actions) if activity is not None else {}
-    none = {name: "0L" for name in masks}
-    rows = []
+    kinds = {}
     if launch is not None:
-        rows.append(_marked(launch, ["user_id"], {_LAUNCHED: "day"}, none))
+        kinds[_LAUNCHED] = f"CASE WHEN _log = '{_LAUNCHED}' THEN day END"
     if video is not None:
-        rows.append(_marked(video, ["user_id"], {_FILMED: "day"}, none))
+        kinds[_FILMED] = f"CASE WHEN _log = '{_FILMED}' THEN day END"
     if activity is not None:
-        rows.append(_marked(activity, ["user_id"], _activity_kinds(parts), masks))
-    long = reduce(DataFrame.unionByName, rows).filter(" OR ".join(f"({w.reads('_day')})" for w in windows))
-    states = []
-    for i, w in enumerate(windows):
-        inside = w.reads("_day")
-        states.append(F.expr(f"sum(CASE WHEN {inside} THEN 1L END)").alias(f"_n{i}"))
-        states += [F.expr(f"bit_or(CASE WHEN {inside} THEN {m} END)").alias(f"_{m}_{i}") for m in masks]
-    grouped = long.groupBy("user_id", "kind", "thing").agg(*states)
+        kinds |= _activity_kinds(parts)
+        kinds[_DAY] = f"CASE WHEN _log = '{_DAY}' THEN day END"
+    read = " OR ".join(f"({w.reads('day')})" for w in windows)
+    raw = settle(_raw_rows(launch, video, activity, parts).filter(read))
+    slot = F.pmod(F.xxhash64("user_id"), F.lit(_SLOTS))
+    counts = raw.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()  # _SLOTS rows at most
+    hot = [r["slot"] for r in counts if r["n"] > hot_rows]
+    cold_rows = sum(r["n"] for r in counts if r["n"] <= hot_rows)
+    least = int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cold = raw.filter(~slot.isin(hot)).repartition(max(least, -(-cold_rows // part_rows)), "user_id")
+    grouped = _states(_marked(cold, ["user_id"], kinds, masks), windows, masks)
+    if hot:
+        grouped = grouped.unionByName(_states(_marked(raw.filter(slot.isin(hot)), ["user_id"], kinds, masks), windows, masks))
     seen = F.array(*[
         F.struct(
             F.lit(w.name).alias("window"), F.lit(w.shift).cast("long").alias("_shift"), F.col(f"_n{i}").alias("frequency"),
@@ -298,6 +330,16 @@ def log_things(
     return per_window.select("window", "user_id", "kind", thing.alias("thing"), "frequency", *masks)
 
 
+def _states(long: DataFrame, windows: Sequence[DayWindow], masks: dict[str, str]) -> DataFrame:
+    """Per (user, kind, thing) and window: how often, and on which pages and by which actions."""
+    states = []
+    for i, w in enumerate(windows):
+        inside = w.reads("_day")
+        states.append(F.expr(f"sum(CASE WHEN {inside} THEN 1L END)").alias(f"_n{i}"))
+        states += [F.expr(f"bit_or(CASE WHEN {inside} THEN {m} END)").alias(f"_{m}_{i}") for m in masks]
+    return long.groupBy("user_id", "kind", "thing").agg(*states)
+
+
 def _pivots(name: str, values: Sequence[int], kind: str, half: str, crossed: str) -> list[Column]:
     """Columns of one pivoted attribute; ``half`` is where a pair keeps its value."""
     columns = []

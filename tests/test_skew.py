@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import ordering
 from cohortloom.operators import activity as act
+from cohortloom.operators.windows import DayWindow
 
 
 @pytest.fixture
@@ -47,3 +48,24 @@ def test_hot_group_is_cut_into_ranges(spark, fixed_partitions):
     assert last == {"hot": 13_333, "cold": 6_667}
     wrong = got.filter((F.col("g") == "cold") & (F.col("n_upto") != F.floor(F.col("x") / 3) + 1)).count()
     assert wrong == 0
+
+
+def test_log_rows_are_moved_once_by_user(spark, fixed_partitions, rows):
+    """A user's things lie in one part unless the user is hot; the rows are the same either way."""
+    user = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 500 + 1)
+    activity = spark.range(6_000).select(
+        user.alias("user_id"), (F.col("id") % 30 + 1).alias("day"), F.when(F.col("id") % 7 > 0, F.col("id") % 5).alias("page"),
+        F.col("id").alias("video_id"), (F.col("id") % 97).alias("author_id"), (F.col("id") % 6).alias("action_type"),
+    )
+    launch, video = activity.select("user_id", "day"), activity.filter("day < 9").select("user_id", "day")
+    windows = [DayWindow(1, 16, 2), DayWindow(1, 23, 1)]
+    want = rows(act.log_things(launch, video, activity, windows, hot_rows=0))
+    cold = act.log_things(launch, video, activity, windows)
+    plan = cold._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    parts = cold.select("user_id", F.spark_partition_id().alias("part")).groupBy("user_id").agg(F.count_distinct("part").alias("n"))
+    assert parts.filter("n > 1").count() == 0
+    assert rows(cold) == want
+    mixed = act.log_things(launch, video, activity, windows, hot_rows=1_000, part_rows=500)
+    assert rows(mixed) == want
+    assert mixed.filter("user_id = 0").select(F.spark_partition_id()).distinct().count() == 8
