@@ -5,7 +5,10 @@ A query (first, second) asks for the sum of the weights of all points with a pla
 most ``first`` and at most ``second``. Both orders are cut into the same number of ranges.
 What lies in whole ranges of both is a carry of at most MOST_RANGES squared sums; what is
 left lies in the query's own range of the first order or, before that, in its own range
-of the second: every row is looked at in two tasks, each holding one range.
+of the second: every row is looked at in two groups, each holding one range. Queries may be far
+from even over the ranges (of the second order above all: many may ask for nearly one
+place), so a range with more queries than it should hold is asked in several groups, each with
+all of its points.
 """
 
 from __future__ import annotations
@@ -16,7 +19,9 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from cohortloom.session import settle
 
 # Tasks get these functions themselves: the library need not be installed on the executors.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -24,6 +29,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Rows of a range, and how many ranges there are at most.
 RANGE_ROWS = 1 << 16
 MOST_RANGES = 256
+# Queries of a group for each point of a whole range.
+QUERIES = 2
 
 
 def sums_before(places: np.ndarray, weights: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -85,7 +92,7 @@ def dominated(rows: DataFrame, keys: Sequence[str], measures: Sequence[str], ran
         first, second = queries["first"].to_numpy(), queries["second"].to_numpy()
         a = np.minimum((first - 1) // width, ranges)
         queries[measures] = _within(points, first, second, measures) + sent.value[a, np.minimum(second // width, ranges)]
-        return pd.concat([points, queries])[columns]
+        return queries[columns]
 
     def in_second(pdf: pd.DataFrame) -> pd.DataFrame:
         """Then what lies in their range of the second order, in earlier ranges of the first."""
@@ -95,6 +102,24 @@ def dominated(rows: DataFrame, keys: Sequence[str], measures: Sequence[str], ran
         return queries[columns]
 
     schema = rows.select(*columns).schema
-    turned = rows.select(*columns).groupBy(block("first")).applyInPandas(in_first, schema)
+    most = QUERIES * width
+    turned = _dealt(rows, block("first"), most).groupBy("_range", "_group").applyInPandas(in_first, schema)
     own = F.when(F.col("point"), block("second")).otherwise(F.floor(F.col("second") / width))
-    return turned.groupBy(own).applyInPandas(in_second, schema).drop("point", "second")
+    asked = settle(turned).unionByName(rows.select(*columns).filter("point"))
+    answered = _dealt(asked, own, most).groupBy("_range", "_group").applyInPandas(in_second, schema)
+    return answered.drop("point", "second")
+
+
+def _dealt(rows: DataFrame, place: Column, most: int) -> DataFrame:
+    """Rows with their range and group: no group has many more than ``most`` queries.
+
+    Queries of a range are dealt over its groups by their values, and its points stand in each of them.
+    """
+    placed = rows.withColumn("_range", place)
+    asked = placed.filter(~F.col("point")).groupBy("_range").agg(F.count(F.lit(1)).alias("_asked"))
+    # a row per range: MOST_RANGES and one at most
+    groups = asked.select("_range", F.ceil(F.col("_asked") / most).cast("int").alias("_groups"))
+    met = placed.join(F.broadcast(groups), "_range")
+    own = F.array(F.pmod(F.xxhash64(*rows.columns), F.col("_groups")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("_groups") - 1)
+    return met.withColumn("_group", F.explode(F.when(F.col("point"), every).otherwise(own))).drop("_groups")

@@ -384,3 +384,23 @@ def test_likelihood_finds_planted_parameters_and_knows_where_there_are_none(spar
     assert all(likelihood(a, b) >= likelihood(a * f, b * g) for f in (0.99, 1, 1.01) for g in (0.99, 1, 1.01))
     smoothed = {(r["feature"], r["clicks"]): r["smoothed"] for r in rates.smooth_by_likelihood(table).collect()}
     assert smoothed["none", 0] == 0.0 and smoothed["all", 4] == 1.0
+
+
+def test_queries_of_one_place_are_dealt_over_groups(spark, rows, monkeypatch):
+    """All queries ask for nearly one place of the second order; no group holds many of them."""
+    seen = spark.sparkContext.accumulator(0)
+    within = dominance._within
+
+    def watched(points, first, second, measures):
+        if len(first) > 40:
+            seen.add(1)
+        return within(points, first, second, measures)
+
+    monkeypatch.setattr(dominance, "_within", watched)
+    places = random.Random(3).sample(range(1, 201), 200)
+    points = [(True, i + 1, p, None, i % 5) for i, p in enumerate(places)]
+    queries = [(False, 1 + i % 200, 100 + i % 2, f"q{i}", None) for i in range(400)]
+    df = spark.createDataFrame(points + queries, "point boolean, first long, second long, q string, n long")
+    got = rows(dominance.dominated(df, ["q"], ["n"], range_rows=8), "q", "n")
+    want = sorted((q, sum(p[4] for p in points if p[1] <= a and p[2] <= b)) for _, a, b, q, _ in queries)
+    assert got == want and seen.value == 0
