@@ -19,6 +19,8 @@ from cohortloom.operators.tokens import rank_tokens, token_rows
 from cohortloom.session import settle
 from cohortloom.sources.schemas import MISSING
 
+# Rows whose levels a task of the screen counts before they meet.
+PART_ROWS = 250_000
 _COUNTS = ["train_pos", "train_neg", "valid_pos", "valid_neg"]
 
 
@@ -47,23 +49,29 @@ def _two_aucs(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def screen_features(samples: DataFrame, features: Mapping[str, Sequence[str]], split: str = "is_train") -> DataFrame:
+def screen_features(
+    samples: DataFrame, features: Mapping[str, Sequence[str]], split: str = "is_train", part_rows: int = PART_ROWS
+) -> DataFrame:
     """(var_name, AUC_0, AUC_1) for each feature, a feature being one or more columns.
 
     Levels without a training row get the overall training rate.
     """
     names = key_names(features)
+    used = sorted({c for columns in features.values() for c in columns} | {"label", split})
+    rows = settle(labelled(samples).select(*used, F.monotonically_increasing_id().alias("_row")))
+    # dealt by number: a task's levels are those of so many rows, however many there are
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // part_rows))
     levels = (
-        keyed_rows(labelled(samples), features, ["label", split])
+        keyed_rows(rows.repartition(parts, "_row"), features, ["label", split])
         .groupBy("feature", *names).agg(*_split_counts(split))
     )
-    # one row per feature name
-    overall = levels.groupBy("feature").agg(
-        ratio(F.sum("train_pos"), F.sum(F.col("train_pos") + F.col("train_neg"))).alias("_overall")
+    # every row counts once for each feature, so all features have one rate: one row
+    overall = rows.agg(*_split_counts(split)).select(
+        ratio(F.col("train_pos"), F.col("train_pos") + F.col("train_neg")).alias("_overall")
     )
     own = ratio(F.col("train_pos"), F.col("train_pos") + F.col("train_neg"))
     scored = (
-        levels.join(F.broadcast(overall), "feature")
+        levels.crossJoin(F.broadcast(overall))
         .groupBy(F.col("feature").alias("var_name"), F.coalesce(own, "_overall").alias("score"))
         .agg(*[F.sum(c).alias(c) for c in _COUNTS])
     )

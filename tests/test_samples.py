@@ -404,3 +404,18 @@ def test_queries_of_one_place_are_dealt_over_groups(spark, rows, monkeypatch):
     got = rows(dominance.dominated(df, ["q"], ["n"], range_rows=8), "q", "n")
     want = sorted((q, sum(p[4] for p in points if p[1] <= a and p[2] <= b)) for _, a, b, q, _ in queries)
     assert got == want and seen.value == 0
+
+
+def test_screen_deals_rows_over_parts(spark, rows):
+    """The parts are as many as the rows ask for, and the areas do not depend on them."""
+    _, df = random_samples(spark)
+    features = {"a": ["a"], "aXb": ["a", "b"]}
+    keyed = []
+    real = screening.keyed_rows
+    screening.keyed_rows = lambda d, *rest: keyed.append(d) or real(d, *rest)
+    try:
+        got = rows(screening.screen_features(df, features, part_rows=10))
+    finally:
+        screening.keyed_rows = real
+    assert keyed[0].rdd.getNumPartitions() == -(-keyed[0].count() // 10)
+    assert got == rows(screening.screen_features(df, features))
