@@ -21,10 +21,12 @@ than three words never. Null and empty texts match nothing; equal items match se
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from cohortloom.llm.bloom import BLOOM_BITS, Bloom, hit
@@ -43,53 +45,73 @@ UNITS = frozenset(
     " h hr hour hours day days week weeks month months year years percent dollars dollar euros euro cents"
     " kmh mph km/h m/s degrees degree".split()
 )
+UNITS_UTF8 = frozenset(unit.encode() for unit in UNITS)
+# Ends of sentences, and what may close after them.
+ENDINGS, CLOSING = (".", "!", "?", ":", ";"), "\"')]}"
 NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*(%|[a-zµ°/]{0,4})?", re.IGNORECASE)
+# What ``EDGE`` strips at the end, of the symbols in ASCII.
+SYMBOLS = "".join(c for c in string.punctuation if c not in "%_")
+SYMBOLS_UTF8, CLOSING_UTF8 = SYMBOLS.encode(), CLOSING.encode()
 EDGE = re.compile(r"^[^\w$€£+\-]+|[^\w%]+$")
 LITERAL, NUM, UNIT, TITLE = 0, 1, 2, 3
 PLACEHOLDER = {NUM: "<num>", UNIT: "<unit>", TITLE: "<name>"}
 
 
-class Kinds(dict):
-    """Word to a row of (hash, kind, ends a sentence); the memory is bounded."""
+# The last three bits of a word's number: its kind, and whether it ends a sentence.
+CODE, ENDS = 7, 4
+
 
-    def __missing__(self, word: str) -> tuple[int, int, bool]:
-        import xxhash
+class Kinds(dict):
+    """Word (UTF-8) to its hash with the code in the last bits; the memory is bounded."""
 
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE:
             self.clear()
-        core = EDGE.sub("", word)
-        kind = LITERAL
-        if NUMBER.fullmatch(core):
-            kind = NUM
-        elif core.lower() in UNITS:
-            kind = UNIT
-        elif len(core) > 1 and core[0].isupper() and core[1:].islower():
-            kind = TITLE
-        ends = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":", ";")
-        value = self[word] = (xxhash.xxh3_64_intdigest(core.lower()), kind, ends)
+        core: bytes | str = word.rstrip(SYMBOLS_UTF8)
+        kind, ends = LITERAL, False
+        if core.isalpha():  # letters in ASCII: nothing more to strip, and no digit
+            lower = core.lower()
+            if lower in UNITS_UTF8:
+                kind = UNIT
+            elif len(core) > 1 and core.istitle():
+                kind = TITLE
+            if core != word:
+                ends = word[len(core):].rstrip(CLOSING_UTF8)[-1:].decode() in ENDINGS
+        else:
+            text = word.decode("utf-8", "surrogatepass")
+            core = text.rstrip(SYMBOLS)
+            if not core.isalpha():
+                core = EDGE.sub("", text)
+            lower = core.lower()
+            if NUMBER.fullmatch(core):
+                kind = NUM
+            elif lower in UNITS:
+                kind = UNIT
+            elif len(core) > 1 and core[0].isupper() and core[1:].islower():
+                kind = TITLE
+            ends = text.rstrip(CLOSING + "»”’")[-1:] in ENDINGS
+        value = self[word] = xxhash.xxh3_64_intdigest(lower) & ~CODE | kind | ENDS * ends
         return value
 
 
 KINDS = Kinds()
-RUNS = re.compile(r"[^\x20\x09-\x0D]+")
-LINE = re.compile(r"[\n\x0B\x0C\r]")
+LINE = re.compile(rb"[\n\x0B\x0C\r]")
 # Views of a text, and which view of an item meets which of a document.
 COPY, PLAIN_STARTS, NAMED_STARTS = 1, 2, 4
 MEETINGS = ((COPY, COPY), *((i, d) for i in (PLAIN_STARTS, NAMED_STARTS) for d in (PLAIN_STARTS, NAMED_STARTS)))
 
 
-def canonical(text: str | None) -> tuple[list[str], np.ndarray, dict[int, np.ndarray]]:
-    """Words of a text, their hashes as plain words, and their kinds in the views with placeholders."""
-    found: list[str] = []
+def canonical(text: str | None) -> tuple[list[bytes], np.ndarray, dict[int, np.ndarray]]:
+    """Words of a text as UTF-8, their hashes as plain words, and their kinds in the views with placeholders."""
+    found: list[bytes] = []
     first = []
-    for line in LINE.split(text or ""):
+    for line in LINE.split((text or "").encode("utf-8", "surrogatepass")):
         first.append(len(found))
-        found += RUNS.findall(line)
+        found += line.split()
     n = len(found)
-    rows = [KINDS[w] for w in found]
-    hashes = np.fromiter((r[0] for r in rows), np.uint64, n)
-    kinds = np.fromiter((r[1] for r in rows), np.int8, n)
-    ends = np.fromiter((r[2] for r in rows), bool, n)
+    numbers = np.fromiter(map(KINDS.__getitem__, found), np.uint64, n)
+    codes = (numbers & np.uint64(CODE)).astype(np.int8)
+    hashes, kinds, ends = numbers & ~np.uint64(CODE), codes & np.int8(CODE - ENDS), codes >= ENDS
     starts = np.append(True, ends[:-1]) if n else ends
     starts[[i for i in first if i < n]] = True
     after_number = np.append(False, kinds[:-1] == NUM) if n else ends
@@ -105,7 +127,8 @@ def template_windows(
         return []
 
     def inside(marks: np.ndarray) -> np.ndarray:
-        total = np.append(0, np.cumsum(marks))
+        total = np.zeros(len(marks) + 1, np.int64)
+        np.cumsum(marks, out=total[1:])
         return total[size:] - total[:-size]
 
     def values(kinds: np.ndarray) -> np.ndarray:
@@ -130,8 +153,9 @@ def template_windows(
     return out
 
 
-def slots(found: list[str], kinds: np.ndarray, at: int, size: int) -> list[str]:
-    return [EDGE.sub("", found[i]).lower() for i in range(at, at + size) if kinds[i] != LITERAL]
+def slots(found: list[bytes], kinds: np.ndarray, at: int, size: int) -> list[str]:
+    texts = [found[i].decode("utf-8", "surrogatepass") for i in range(at, at + size) if kinds[i] != LITERAL]
+    return [EDGE.sub("", text).lower() for text in texts]
 
 
 WINDOWS = "id long, n_words long, place long, hash long, views int, slots array<string>"

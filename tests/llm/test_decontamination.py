@@ -83,3 +83,38 @@ def test_lower_and_upper_copies_with_names(found):
     item = "On Monday Anna Miller of Berlin met Peter Baker and Tom Fisher in Paris"
     docs = [(1, f"{PLAIN} {item.lower()}"), (2, f"{PLAIN} {item.upper()} {PLAIN}"), (3, PLAIN)]
     assert found(docs, [(1, item)]).keys() == {(1, 1), (2, 1)}
+
+
+def test_words_of_letters_need_no_patterns(monkeypatch):
+    """Most words are letters with symbols after them: they are read without a pattern, and alike."""
+    text = "Green Hills, (see 12 kg) of \"pears\".\nEvery day!"
+    expected = decontamination.canonical(text)
+    used = []
+    real = decontamination.EDGE
+
+    class Edge:
+        def sub(self, by, word):
+            used.append(word)
+            return real.sub(by, word)
+
+    monkeypatch.setattr(decontamination, "EDGE", Edge())
+    monkeypatch.setattr(decontamination, "KINDS", decontamination.Kinds())
+    found, hashes, views = decontamination.canonical(text)
+    assert used == ["(see", "12", '"pears".']
+    assert (hashes == expected[1]).all()
+    names = {k: [int(x) for x in v] for k, v in views.items()}
+    assert names[decontamination.NAMED_STARTS] == [3, 3, 0, 1, 2, 0, 0, 3, 0]
+    assert names[decontamination.PLAIN_STARTS] == [0, 3, 0, 1, 2, 0, 0, 0, 0]
+    assert [bytes(w).decode() for w in found] == text.split()
+
+
+def test_runs_are_hashed_as_sums_of_powers():
+    import numpy as np
+
+    from cohortloom.llm import tokens
+
+    hashes = np.arange(1, 30, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for size in range(1, 31):
+        runs = [hashes[i : i + min(size, 29)] for i in range(max(30 - size, 1))]
+        plain = [sum(int(h) * pow(int(tokens.ODD), len(r) - 1 - k, 1 << 64) for k, h in enumerate(r)) % (1 << 64) for r in runs]
+        assert (tokens.windows(hashes, size) == tokens.scramble(np.array(plain, np.uint64))).all()
