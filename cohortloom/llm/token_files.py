@@ -29,6 +29,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+import string
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -54,6 +55,11 @@ SHARD_SCHEMA = (
 # In a run of blanks a cut would change ids.
 UNSAFE = re.compile(r"\s\s")
 SPACE = re.compile(r"\s")
+# How a byte-level vocabulary writes a blank.
+BLANK = "\u0120"
+SYMBOLS = string.punctuation
+# Letters up to here are letters in every version of Unicode.
+LETTERS = "\u024f"
 
 
 class Encoder:
@@ -61,7 +67,8 @@ class Encoder:
 
     The tokenizer splits before a blank or line end that follows a non-blank, so a text
     without runs of blanks is the same as its pieces, each with the blank or line end before
-    it; other texts go whole.
+    it; other texts go whole. It also splits between a letter and a symbol, so a new piece is
+    learnt without the symbols at its end, and those by themselves.
     """
 
     def __init__(self, path: str, cache: int = CACHE) -> None:
@@ -71,6 +78,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.cache = cache
         self.known: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.after_blank = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.after_blank[[i for token, i in vocabulary.items() if token[0] == BLANK]] = True
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -88,41 +99,70 @@ class Encoder:
             start = end
         return out
 
+    def _words(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that are all letters, each after a blank: the tokenizer takes each as one word."""
+        found = self.tokenizer.encode_batch_fast([" " + " ".join(pieces)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, "<u4")
+        ends = np.append(np.flatnonzero(self.after_blank[ids])[1:], len(ids)) * 4
+        flat, start, out = ids.tobytes(), 0, []
+        for end in ends.tolist():
+            out.append(flat[start:end])
+            start = end
+        return out
+
     def _learn(self, new: list[str]) -> None:
         """Remember the ids of new pieces; a piece stands for itself after a blank or a line end."""
-        known = self.known
-        lines = [p for p in new if p[:1] == "\n" and p[1:] and not SPACE.search(p, 1)]
-        plain = [p for p in new if p and not SPACE.search(p)]
-        for lot, head in ((lines, ""), (plain, "\n ")):
+        known, tails = self.known, self.tails
+        fresh = [p for p in new if p.isalpha()]
+        taken = set(fresh)
+        made = []
+        for p in new:
+            if p in taken:
+                continue
+            core = p.rstrip(SYMBOLS)
+            if core and core[-1] <= LETTERS and core[-1].isalpha():
+                end = p[len(core):]
+                if end:
+                    made.append((p, core, end))
+                if core not in known and core not in taken:
+                    fresh.append(core)
+                    taken.add(core)
+            else:
+                fresh.append(p)
+        ends = list({end for _, _, end in made} - tails.keys())
+        tails.update(zip(ends, self._whole(ends)))
+        words = [p for p in fresh if p.isalpha() and (p.isascii() or max(p) <= LETTERS)]
+        taken = set(words)
+        lines = [p for p in fresh if p[:1] == "\n" and p[1:] and not SPACE.search(p, 1)]
+        plain = [p for p in fresh if p and p not in taken and not SPACE.search(p)]
+        for lot, head in ((words, None), (lines, ""), (plain, "\n ")):
             for lo in range(0, len(lot), 512):
                 part = lot[lo : lo + 512]
-                found = self._lines([head + p for p in part])
+                found = self._words(part) if head is None else self._lines([head + p for p in part])
                 if len(found) == len(part):
-                    known.update(zip(part, found if not head else [f[4:] for f in found]))
-        rest = [p for p in new if p not in known]
+                    known.update(zip(part, [f[4:] for f in found] if head else found))
+        rest = [p for p in fresh if p not in known]
         texts = [p[1:] if p[:1] == " " else p if p[:1] == "\n" else f" {p}" for p in rest]
         known.update(zip(rest, self._whole(texts)))
+        known.update([(p, known[core] + tails[end]) for p, core, end in made])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > self.cache:
-            self.known = {}
+            self.known, self.tails = {}, {"": b""}
         known = self.known
         out: list[bytes | None] = [None] * len(texts)
-        late = {}
+        cut: dict[int, list[str]] = {}
+        seen: set[str] = set()
         for i, text in enumerate(texts):
             # strings of special tokens may reach over a blank
             if "<|" not in text and not UNSAFE.search(text):
                 first, *rest = text.replace("\n", " \n").split(" ")
                 # no other piece holds a blank, so the first is told apart by one
-                parts = [f" {first}", *rest]
-                found = list(map(known.get, parts))
-                if None in found:
-                    late[i] = parts, found
-                else:
-                    out[i] = b"".join(found)
-        self._learn(list({p for parts, found in late.values() for p, f in zip(parts, found) if f is None}))
-        for i, (parts, found) in late.items():
-            out[i] = b"".join([known[p] if f is None else f for p, f in zip(parts, found)])
+                cut[i] = [f" {first}", *rest]
+                seen.update(cut[i])
+        self._learn(list(seen.difference(known)))
+        for i, parts in cut.items():
+            out[i] = b"".join(map(known.__getitem__, parts))
         left = [i for i, found in enumerate(out) if found is None]
         for i, found in zip(left, self._whole([texts[i] for i in left])):
             out[i] = found

@@ -75,3 +75,12 @@ def test_round_trip(spark, documents, tmp_path):
 def test_empty_table(spark, documents, tmp_path):
     token_files.write_shards(documents([]), str(tmp_path / "none"), tokenizer_path())
     assert token_files.read_documents(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_symbols_at_the_end_are_learnt_by_themselves():
+    """A word is encoded once, whatever symbols come after it."""
+    texts = ["walk, walk. walk!? (walk) walk's walk_\nwalk; walk2. é, é.", "'walk' walk'' wálk... ́walḱ, 中, x中.", "", " walk, "]
+    encoder = token_files.Encoder(tokenizer_path())
+    got = encoder.encode(texts)
+    assert [g.tolist() for g in got] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert "walk" in encoder.known and {",", ".", "!?"} <= encoder.tails.keys()
