@@ -108,3 +108,42 @@ def test_nothing_to_learn_from(documents):
     ids = [i for i in range(100) if out(i)][:2]
     got = class_lm.class_scores(documents([(ids[0], "a b"), (ids[1], None)])).collect()
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["base_score"] == 0 for r in got)
+
+
+@pytest.mark.parametrize("head", [8, 1 << 18])
+def test_words_past_the_first_ones_have_classes_of_their_own(documents, head):
+    """Two languages that share no word, though all words end alike: who knows a word's language halves what may follow."""
+    rng = random.Random(4)
+    data = [(i, " ".join(f"{rng.randrange(40)}{side}zzz" for _ in range(25))) for i, side in enumerate("ab" * 200)]
+    got = class_lm.class_scores(documents(data), symbols=8, classes=4, head=head).collect()
+    gain = [(r["score"] - r["base_score"]) / r["n_tokens"] for r in got if r["held_out"]]
+    assert len(gain) > 20 and sum(gain) / len(gain) > 0.8 * math.log10(2)
+
+
+def test_rounds_find_the_classes_of_all_words_together(documents):
+    """Codes, tables of other words and words next to one another lead to the same class bigrams as a plain count."""
+    data = [(i, t) for i, t in corpus(200, seed=2) if not out(i)]
+    from cohortloom.llm.common import Written
+
+    docs = documents(data)
+    keep = Written(docs.sparkSession)
+    counts = {}
+    for _, text in data:
+        for t in tokens(text):
+            counts[t] = counts.get(t, 0) + 1
+    by_n = sorted(counts, key=lambda t: (t != b" ", -counts[t], t))
+    for size in (5, len(by_n)):
+        head = by_n[:size]
+        hashes = np.array([class_lm.hash_of(t) for t in head], np.uint64)
+        texts = keep(class_lm.coded(docs, hashes, "doc_id", "text"))
+        n = np.array([counts[t] for t in head], np.int64)
+        of, rest, pairs = class_lm.cluster(texts, n, size == len(by_n), 5, 3, 0, 4, keep)
+        found = dict(zip(hashes.tolist(), of.tolist()))
+        for words in rest:
+            found |= {r["hash"] % (1 << 64): r["cls"] for r in words.collect()}
+        assert len(found) == len(by_n)
+        want = np.zeros((3, 3), np.int64)
+        for _, text in data:
+            line = [found[class_lm.hash_of(t)] for t in [b" ", *tokens(text)]]
+            np.add.at(want, (line[:-1], line[1:]), 1)
+        assert (pairs == want).all()
